@@ -90,6 +90,9 @@ class PipelineConfig:
     as_of: dt.date = dt.date(2022, 5, 19)
     table_labels: tuple = REFERENCE_TABLE_LABELS
     scatter_labels: tuple = REFERENCE_SCATTER_LABELS
+    # weekly mean: "decimal" (exact, order-independent) or "two_pass" (R's
+    # binary mean, last bit depends on summation order); see mean_by
+    mean_method: str = "decimal"
     # pivots above this many names are refused (publish long form instead)
     pivot_max_values: int = 10000
     # a join side is broadcast only when it has at most this many rows

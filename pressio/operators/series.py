@@ -26,25 +26,43 @@ def sum_by(df: DataFrame, keys: Sequence[str],
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, out: str,
-            exact: bool = False) -> DataFrame:
+            method: str = "avg", scale: int = 2) -> DataFrame:
     """Strict mean of ``value`` per key.
 
-    ``exact=False`` is Spark's ``avg`` (sum / count, partial aggregation).
-    ``exact=True`` is the two-pass mean ``m + avg(x - m)`` that R's ``mean``
-    computes; it is correctly rounded where a single pass is not, which
-    decides ties when the mean is rounded afterwards. The first pass is a
-    window over the same keys as the aggregate, so both share one exchange;
-    the window buffers one group, which in the pipeline is one entity-week
-    (at most 7 rows at date x entity grain).
+    ``method``:
+
+    * ``"avg"`` - Spark's ``avg`` (sum / count), partial aggregation.
+    * ``"decimal"`` - exact mean of values that carry at most ``scale``
+      decimals (the pipeline's index is rounded to 2 before it is averaged):
+      the integer sum of ``x * 10^scale`` and the count are aggregated
+      exactly, then divided once. Independent of row order and
+      partitioning, partial aggregation only (a hot key is pre-aggregated
+      per map task), and a rounding of the mean decides ties the same way
+      on every run and in every engine.
+    * ``"two_pass"`` - ``m + avg(x - m)`` with ``m = avg(x)``, the mean R
+      computes on the binary doubles. It follows R even where a decimal tie
+      is broken by binary noise, but its last bit depends on summation
+      order, so it can differ between runs. The first pass is a window on
+      the same keys as the aggregate (one exchange); the window buffers one
+      group.
     """
     x = as_col(value)
-    if not exact:
-        return df.groupBy(*[as_col(k) for k in keys]).agg(strict_mean(x).alias(out))
-    w = Window.partitionBy(*[as_col(k) for k in keys])
-    with_m = df.withColumn("_m", F.avg(x).over(w))
+    keycols = [as_col(k) for k in keys]
     complete = F.count(x) == F.count(F.lit(1))
-    return (with_m.groupBy(*[as_col(k) for k in keys])
-            .agg(F.when(complete, F.max("_m") + F.avg(x - F.col("_m"))).alias(out)))
+    if method == "avg":
+        return df.groupBy(*keycols).agg(strict_mean(x).alias(out))
+    if method == "decimal":
+        p = 10 ** scale
+        units = F.rint(x * F.lit(float(p))).cast("long")
+        mean = (F.sum(units).cast("double")
+                / (F.count(F.lit(1)) * F.lit(p)).cast("double"))
+        return df.groupBy(*keycols).agg(F.when(complete, mean).alias(out))
+    if method == "two_pass":
+        w = Window.partitionBy(*keycols)
+        with_m = df.withColumn("_m", F.avg(x).over(w))
+        return (with_m.groupBy(*keycols)
+                .agg(F.when(complete, F.max("_m") + F.avg(x - F.col("_m"))).alias(out)))
+    raise ValueError(f"unknown mean method {method!r}")
 
 
 def _series_window(entity: str, date: str):

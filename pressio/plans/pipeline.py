@@ -88,16 +88,34 @@ def dimension_with_total(dim: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 
 def join_dimension(incidence: DataFrame, dimension: DataFrame,
-                   cfg: PipelineConfig) -> DataFrame:
+                   cfg: PipelineConfig, dimension_rows_checked: bool = False) -> DataFrame:
     """Incidence left-joined with the dimension on the entity.
 
-    The dimension holds one row per entity; it is broadcast when its row
-    count is within ``cfg.broadcast_max_rows`` (checked), else shuffled.
+    The dimension holds one row per entity. When it is a materialised table
+    (``dimension_rows_checked``) its row count is checked against
+    ``cfg.broadcast_max_rows`` and it is broadcast within the bound. When it
+    is itself derived from a large table, no count is run (that would
+    compute it twice): adaptive execution measures its shuffle output and
+    turns the join into a broadcast join when it is small.
     """
-    dim, _ = bounded_broadcast(dimension, cfg.broadcast_max_rows)
+    dim = dimension
+    if dimension_rows_checked:
+        dim, _ = bounded_broadcast(dimension, cfg.broadcast_max_rows)
     return natural_join(incidence, dim, "left")
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the session's checkpoint folder and read it back.
+
+    The full result feeds every product: materialising it computes it once
+    (O4), cuts the lineage (a lost executor recomputes nothing upstream) and
+    stops predicates on KPI columns from being rewritten into the KPI
+    expressions below (O3). The folder is the shared one named by
+    ``spark.checkpoint.dir``.
+    """
+    return df.checkpoint(eager=True)
+
+
 def full_result(incidence_raw: DataFrame, vaccination_raw: DataFrame,
                 dimension_raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """The 31-column result, one row per (day, entity) of the

@@ -55,7 +55,7 @@ def weekly_long(result: DataFrame, cfg: PipelineConfig) -> DataFrame:
     s = s.select(week_number(cfg.date).alias("week"), F.year(as_col(cfg.date)).alias("year"),
                  as_col(cfg.entity), as_col(cfg.index))
     m = mean_by(s, ["week", "year", cfg.entity], cfg.index,
-                f"media_{cfg.index}", exact=True)
+                f"media_{cfg.index}", method=cfg.mean_method)
     m = drop_incomplete(m)
     return m.withColumn(f"media_{cfg.index}", round_r(f"media_{cfg.index}", 2))
 

@@ -42,10 +42,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_CHECKED: dict = {}
+
+
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nation table, broadcast once its row count is checked (once per
+    session and path)."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    small, _ = bounded_broadcast(nation, NATION_MAX_ROWS)
-    return small
+    key = (id(spark), sf_dir)
+    if key not in _CHECKED:
+        _CHECKED[key] = bounded_broadcast(nation, NATION_MAX_ROWS)[1]
+    return F.broadcast(nation) if _CHECKED[key] else nation
 
 
 def incidence_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
