@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
 from ..functions import as_col, ratio, round_r
-from .conform import derive, map_numeric
+from .conform import map_numeric
 
 
 def kpi_steps(cfg: PipelineConfig) -> list:
-    """``(name, Column)`` steps; later steps read earlier columns.
+    """KPI definitions grouped by dependency level: a list of levels, each a
+    list of ``(name, Column)``; a level reads only columns of earlier levels.
 
     Operation order is kept as published (it decides the last binary digit,
     and with it ties of the final rounding). ``1 - efficacy`` stays a double
@@ -22,30 +23,28 @@ def kpi_steps(cfg: PipelineConfig) -> list:
     per = float(cfg.per)
     pop_per = c(cfg.population) / F.lit(per)
     t0 = cfg.thresholds[0]
-    steps = [
+    level1 = [
         ("incidenza", ratio(c(cfg.increment), pop_per, z)),
         ("saturazione_ti", ratio(c(cfg.icu), c(cfg.icu_beds), z)),
         ("saturazione_area_non_critica", ratio(c(cfg.hospitalised), c(cfg.beds), z)),
     ]
-    steps += [(f"casi_soglia_{t}", pop_per * F.lit(float(t))) for t in cfg.thresholds]
-    steps += [
-        ("vaccinati_suscettibili",
-         round_r(c(cfg.vaccinated) * F.lit(1.0 - cfg.efficacy), 0)),
-        ("suscettibili",
-         round_r(c(cfg.population) - c(cfg.vaccinated) + c("vaccinati_suscettibili"), 0)),
-    ]
-    steps += [(f"casi_soglia_{t}_suscettibili",
+    level1 += [(f"casi_soglia_{t}", pop_per * F.lit(float(t))) for t in cfg.thresholds]
+    level1 += [("vaccinati_suscettibili",
+                round_r(c(cfg.vaccinated) * F.lit(1.0 - cfg.efficacy), 0))]
+    level2 = [("suscettibili",
+               round_r(c(cfg.population) - c(cfg.vaccinated) + c("vaccinati_suscettibili"), 0))]
+    level3 = [(f"casi_soglia_{t}_suscettibili",
                c("suscettibili") / F.lit(per) * F.lit(float(t))) for t in cfg.thresholds]
-    steps += [(f"soglia_{t}_effettiva",
+    level4 = [(f"soglia_{t}_effettiva",
                round_r(ratio(c(f"casi_soglia_{t}_suscettibili"), pop_per, z), 0))
               for t in cfg.thresholds]
-    steps += [("moltiplicatore_vaccini",
-               ratio(c(f"casi_soglia_{t0}"), c(f"casi_soglia_{t0}_suscettibili"), z))]
-    steps += [(f"soglia_{t}_equivalente",
+    level4 += [("moltiplicatore_vaccini",
+                ratio(c(f"casi_soglia_{t0}"), c(f"casi_soglia_{t0}_suscettibili"), z))]
+    level5 = [(f"soglia_{t}_equivalente",
                round_r(F.lit(float(t)) * c("moltiplicatore_vaccini"), 0))
               for t in cfg.thresholds]
-    steps += [(cfg.index, ratio(c("incidenza"), c(f"soglia_{t0}_equivalente"), z))]
-    return steps
+    level6 = [(cfg.index, ratio(c("incidenza"), c(f"soglia_{t0}_equivalente"), z))]
+    return [level1, level2, level3, level4, level5, level6]
 
 
 def stress_kpis(df: DataFrame, cfg: PipelineConfig, final_round: bool = True) -> DataFrame:
@@ -54,7 +53,9 @@ def stress_kpis(df: DataFrame, cfg: PipelineConfig, final_round: bool = True) ->
     K19 divides the *unrounded* incidence; the 2-decimal rounding comes last.
     Integer columns are unchanged by rounding and stay integers.
     """
-    out = derive(df, kpi_steps(cfg))
+    out = df
+    for level in kpi_steps(cfg):
+        out = out.withColumns(dict(level))
     if final_round:
         out = map_numeric(out, lambda x: round_r(x, 2), only_fractional=True)
     return out

@@ -11,33 +11,69 @@ from ..functions import as_col, strict_sum
 from .conform import require_not_label
 
 
+def _detail_or_null(col_name: str, grouped) -> "F.Column":
+    return F.when(grouped == 0, F.first(as_col(col_name)))
+
+
+def _checked_sums(measures: Sequence[str], bad, error) -> list:
+    """Strict sums of the measures; the first one fails the job when ``bad``
+    (carried by a kept column, so pruning cannot drop the check)."""
+    sums = [strict_sum(m).alias(m) for m in measures]
+    if measures:
+        m0 = measures[0]
+        sums[0] = F.when(bad, error).otherwise(strict_sum(m0)).alias(m0)
+    return sums
+
+
 def with_total(df: DataFrame, date: str, entity: str, measures: Sequence[str],
                label: str) -> DataFrame:
     """Append, per date, one row for the total entity ``label`` (A1).
 
-    The detail rows pass through unchanged; the total row holds the strict
-    sum of each measure over all entities of that date; other columns are
-    NULL. Rows with a NULL date belong to no date and are dropped (F12). An
-    entity already named ``label`` fails the job.
+    Detail rows keep their values; the total row holds the strict sum of
+    each measure over all entities of that date; other columns are NULL
+    there. Rows with a NULL date belong to no date and are dropped (F12).
+    Fails the job if an entity is already named ``label`` or if a
+    (date, entity) pair repeats.
 
-    Plan: the totals are a partial + final hash aggregate on the date, so a
-    hot date is pre-aggregated before the shuffle.
+    One pass over the input: ``GROUPING SETS ((date, entity), (date))``.
+    A detail group holds exactly one row (checked), so its strict sums are
+    the row's values; the date set is partially aggregated before the
+    shuffle. A union of the rows with a separate aggregate would evaluate
+    the input twice (its two branches prune different columns, so Spark
+    cannot reuse one for the other).
     """
-    base = df.filter(as_col(date).isNotNull())
-    detail = base.withColumn(entity, require_not_label(entity, label))
-    totals = (base.groupBy(as_col(date).alias(date))
-              .agg(*[strict_sum(m).alias(m) for m in measures])
-              .withColumn(entity, F.lit(label)))
-    return detail.unionByName(totals, allowMissingColumns=True)
+    base = df.filter(as_col(date).isNotNull()).withColumn(
+        entity, require_not_label(entity, label))
+    others = [c for c in df.columns if c not in (date, entity, *measures)]
+    e = as_col(entity)
+    g = F.grouping(e)
+    dup = F.raise_error(F.lit(f"duplicate ({date}, {entity}) key before the total"))
+    aggs = _checked_sums(measures, (g == 0) & (F.count(F.lit(1)) > 1), dup)
+    aggs += [_detail_or_null(c, g).alias(c) for c in others]
+    aggs += [g.alias("_g")]
+    grouped = base.groupingSets([[date, entity], [date]], date, entity).agg(*aggs)
+    out = grouped.withColumn(entity, F.when(F.col("_g") == 1, F.lit(label)).otherwise(e))
+    return out.select(*[as_col(c) for c in df.columns])
 
 
 def with_grand_total(df: DataFrame, entity: str, measures: Sequence[str],
                      label: str) -> DataFrame:
-    """Append one row ``label`` with the strict sum of each measure."""
-    totals = (df.agg(*[strict_sum(m).alias(m) for m in measures])
-              .withColumn(entity, F.lit(label)))
-    return (df.withColumn(entity, require_not_label(entity, label))
-            .unionByName(totals, allowMissingColumns=True))
+    """Append one row ``label`` with the strict sum of each measure.
+
+    One pass: ``GROUPING SETS ((entity), ())``; each entity holds one row
+    (checked), so its detail group reproduces it.
+    """
+    base = df.withColumn(entity, require_not_label(entity, label))
+    others = [c for c in df.columns if c not in (entity, *measures)]
+    e = as_col(entity)
+    g = F.grouping(e)
+    dup = F.raise_error(F.lit(f"duplicate {entity} key before the grand total"))
+    aggs = _checked_sums(measures, (g == 0) & (F.count(F.lit(1)) > 1), dup)
+    aggs += [_detail_or_null(c, g).alias(c) for c in others]
+    aggs += [g.alias("_g")]
+    grouped = base.groupingSets([[entity], []], entity).agg(*aggs)
+    out = grouped.withColumn(entity, F.when(F.col("_g") == 1, F.lit(label)).otherwise(e))
+    return out.select(*[as_col(c) for c in df.columns])
 
 
 def sum_with_total(df: DataFrame, date: str, entity: str, value: str, out: str,

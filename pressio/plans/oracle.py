@@ -39,11 +39,10 @@ def round_r(x: str, d: int) -> str:
     p = dbl(10 ** d)
     s = f"(({x}) * {p})"
     lo_i, hi_i = f"floor({s})", f"ceil({s})"
-    lo, hi = f"({lo_i} / {p})", f"({hi_i} / {p})"
-    down, up = f"(({x}) - {lo})", f"({hi} - ({x}))"
-    return (f"(CASE WHEN NOT (abs({s}) < {dbl(2 ** 52)}) THEN ({x}) "
-            f"WHEN {up} < {down} THEN {hi} WHEN {down} < {up} THEN {lo} "
-            f"WHEN {lo_i} % 2 = 0 THEN {lo} ELSE {hi} END)")
+    down, up = f"(({x}) - {lo_i} / {p})", f"({hi_i} / {p} - ({x}))"
+    pick = f"CAST(({down} > {up}) OR ({down} = {up} AND {lo_i} % 2 <> 0) AS BIGINT)"
+    return (f"(CASE WHEN abs({s}) < {dbl(2 ** 52)} "
+            f"THEN ({lo_i} + ({hi_i} - {lo_i}) * {pick}) / {p} ELSE ({x}) END)")
 
 
 def div(a: str, b: str) -> str:

@@ -15,6 +15,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Whole-stage code for a subtree whose method would exceed the JIT's
+    # huge-method limit runs interpreted; fall back to per-operator code
+    # generation for such subtrees instead (the wide KPI projections).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
