@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._util import as_col
+from ._util import as_col, quote
 
 # Beyond 2**52 every double is integral at any precision we round to.
 _EXACT_LIMIT = float(2 ** 52)
@@ -25,6 +25,8 @@ def round_r(c, digits: int = 0) -> Column:
     shared terms are evaluated once per row and the generated code stays
     small when many columns are rounded in one projection.
     """
+    if isinstance(c, str):
+        return F.expr(_round_r_sql(quote(c), digits))
     x = as_col(c)
     p = F.lit(float(10 ** digits))
     s = x * p
@@ -37,6 +39,17 @@ def round_r(c, digits: int = 0) -> Column:
     return F.when(F.abs(s) < F.lit(_EXACT_LIMIT), nearest).otherwise(x)
 
 
+def _round_r_sql(x: str, digits: int) -> str:
+    """The same expression as SQL text (one call to build, for named columns)."""
+    p = f"{float(10 ** digits)!r}D"
+    s = f"({x} * {p})"
+    lo_i, hi_i = f"floor({s})", f"ceil({s})"
+    down, up = f"({x} - {lo_i} / {p})", f"({hi_i} / {p} - {x})"
+    pick = f"CAST(({down} > {up}) OR ({down} = {up} AND {lo_i} % 2 != 0) AS BIGINT)"
+    return (f"CASE WHEN abs({s}) < {_EXACT_LIMIT!r}D "
+            f"THEN ({lo_i} + ({hi_i} - {lo_i}) * {pick}) / {p} ELSE {x} END")
+
+
 def number_text(c) -> Column:
     """Format a number as published text.
 

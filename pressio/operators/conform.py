@@ -57,9 +57,10 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
             if isinstance(f.dataType, NumericType) and f.name not in skip]
 
 
-def map_numeric(df: DataFrame, fn: Callable[[Column], Column],
+def map_numeric(df: DataFrame, fn: Callable[[str], Column],
                 exclude: Iterable[str] = (), only_fractional: bool = False) -> DataFrame:
-    """Apply ``fn`` to every numeric column, ``exclude`` left out.
+    """Apply ``fn`` (given the column name) to every numeric column,
+    ``exclude`` left out (F5).
 
     With ``only_fractional`` integral columns are passed through (rounding an
     integer is the identity, and keeping the integer type keeps sums exact).
@@ -71,7 +72,7 @@ def map_numeric(df: DataFrame, fn: Callable[[Column], Column],
         if numeric and only_fractional and f.dataType.typeName() in (
                 "byte", "short", "integer", "long"):
             numeric = False
-        out.append(fn(as_col(f.name)).alias(f.name) if numeric else as_col(f.name))
+        out.append(fn(f.name).alias(f.name) if numeric else as_col(f.name))
     return df.select(*out)
 
 

@@ -1,0 +1,5 @@
+"""Refresh trigger for the batch job (the pipeline itself has no stream state)."""
+
+from .refresh import refresh_on_arrival
+
+__all__ = ["refresh_on_arrival"]
