@@ -49,7 +49,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", app="pressio-bench",
                           shuffle_partitions=max(cpus, 8),
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g",
+                                 # local inputs are a few MB: let AQE keep several
+                                 # small post-shuffle partitions so all cores work
+                                 "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"})
     spark.sparkContext.setLogLevel("ERROR")
     # warm-up: JVM, parquet footers, code generation caches
     run(C.QUERIES["dimension_with_total"](spark, sf))

@@ -54,7 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``; only where that is unset
     (local runs, tests) a scratch folder is taken so ``checkpoint()`` works.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server names the folder
+        return ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -38,8 +38,17 @@ DRIVER = PipelineConfig(
 )
 
 
+_READERS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table's reader, defined once per session and path (file listing
+    and footer schema are read once; every query still scans the files)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 _CHECKED: dict = {}
