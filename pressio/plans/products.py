@@ -85,7 +85,7 @@ def daily_wide(result: DataFrame, cfg: PipelineConfig, names=None) -> DataFrame:
 def population_by_entity(population_raw: DataFrame, cfg: PipelineConfig,
                          weight: str = "totale_generale",
                          out: str = "popolazione_totale") -> DataFrame:
-    """P8 (inactive in the reference): weighted count per entity plus the
+    """P8 (inactive in the published pipeline): weighted count per entity plus the
     total row (A7, A8). Order (R4, count descending, total last) is applied
     by :func:`population_order` at the sink."""
     counts = weighted_count(population_raw, [cfg.entity], weight, out)

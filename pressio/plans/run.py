@@ -25,25 +25,25 @@ from . import pipeline as P
 from . import products as R
 
 PRODUCTS = {
-    "tabella_semplice": R.snapshot_labelled,
-    "mappa": R.snapshot_map,
-    "scatterplot": R.snapshot_scatter,
-    "arrow_plot": R.arrow,
-    "variazione_settimanale": R.weekly_wide,
-    "variazione_giornaliera": R.daily_wide,
+    "snapshot": R.snapshot_labelled,
+    "map": R.snapshot_map,
+    "scatter": R.snapshot_scatter,
+    "arrow": R.arrow,
+    "weekly": R.weekly_wide,
+    "daily": R.daily_wide,
 }
 
 
 def run_all(spark: SparkSession, incidence, vaccination, dimension, out_dir: str,
             cfg: PipelineConfig = REFERENCE, population=None) -> dict:
     """Compute, write and publish; returns the written paths."""
-    result_path = os.path.join(out_dir, "indicatore_stress")
+    result_path = os.path.join(out_dir, "result")
     write_result(P.full_result(incidence, vaccination, dimension, cfg), result_path, cfg.date)
     result = read_result(spark, result_path)
     written = {"result": result_path}
-    order = {"variazione_settimanale": ["year", "week"]}
+    order = {"weekly": ["year", "week"]}
     for name, product in PRODUCTS.items():
-        path = os.path.join(out_dir, "graph-data", name)
+        path = os.path.join(out_dir, "products", name)
         df = product(result, cfg)
         keys = order.get(name) or ([cfg.date] if cfg.date in df.columns else df.columns[:1])
         publish_csv(df, path, order_by=keys)

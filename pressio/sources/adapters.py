@@ -19,6 +19,7 @@ population (entity x customer): weight = customer key.
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,30 +39,29 @@ DRIVER = PipelineConfig(
 )
 
 
-_READERS: dict = {}
+# Per-session memo (entries go with their session object).
+_READERS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+_CHECKED: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table's reader, defined once per session and path (file listing
     and footer schema are read once; every query still scans the files)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(path)
-    return _READERS[key]
-
-
-_CHECKED: dict = {}
+    readers = _READERS.setdefault(spark, {})
+    if path not in readers:
+        readers[path] = spark.read.parquet(path)
+    return readers[path]
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nation table, broadcast once its row count is checked (once per
     session and path)."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    key = (id(spark), sf_dir)
-    if key not in _CHECKED:
-        _CHECKED[key] = bounded_broadcast(nation, NATION_MAX_ROWS)[1]
-    return F.broadcast(nation) if _CHECKED[key] else nation
+    checked = _CHECKED.setdefault(spark, {})
+    if sf_dir not in checked:
+        checked[sf_dir] = bounded_broadcast(nation, NATION_MAX_ROWS)[1]
+    return F.broadcast(nation) if checked[sf_dir] else nation
 
 
 def incidence_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ def num(v):
 
 
 def test_formula_golden(spark):
-    rows = read("tabella_semplice.csv")
+    rows = read("snapshot.csv")
     header, body = rows[0], rows[1:]
     assert len(body) == 20 and len(header) == 31
     idx = {h: i for i, h in enumerate(header)}
@@ -59,7 +59,7 @@ def test_formula_golden(spark):
 
 
 def _daily_long(spark):
-    rows = read("variazione_giornaliera.csv")
+    rows = read("daily.csv")
     header, body = rows[0], rows[1:]
     assert len(body) == 59 and len(header) == 23
     long = [(dt.date.fromisoformat(r[0]), header[j], float(r[j]))
@@ -68,7 +68,7 @@ def _daily_long(spark):
 
 
 def _weekly_expected():
-    rows = read("variazione_settimanale.csv")
+    rows = read("weekly.csv")
     header, body = rows[0], rows[1:]
     assert len(body) == 46 and len(header) == 24
     want = {}
@@ -106,7 +106,7 @@ def test_weekly_mean_golden_decimal(spark):
 
 
 def test_week_labels_golden(spark):
-    rows = read("variazione_settimanale.csv")[1:]
+    rows = read("weekly.csv")[1:]
     pairs = [(2022, w) for w in range(1, 21)] + [(2021, w) for w in range(27, 53)]
     df = spark.createDataFrame(pairs, "y int, w int")
     got = [r["l"].isoformat() for r in df.select(week_label("y", "w").alias("l")).collect()]
@@ -114,7 +114,7 @@ def test_week_labels_golden(spark):
 
 
 def test_scatter_golden(spark):
-    rows = read("scatterplot.csv")
+    rows = read("scatter.csv")
     header, body = rows[0], rows[1:]
     data = [(r[0], float(r[1]), float(r[2]), int(r[3]), int(r[4])) for r in body]
     df = spark.createDataFrame(data, "denominazione_regione string, indicatore_stress double, "

@@ -16,11 +16,11 @@ def test_run_all_publishes_every_product(spark):
     paths = run_all(spark, A.incidence_raw(spark, SF001), A.vaccination_raw(spark, SF001),
                     A.dimension_raw(spark, SF001), out, C.CFG,
                     population=A.population_raw(spark, SF001))
-    assert set(paths) >= {"result", "tabella_semplice", "mappa", "scatterplot", "arrow_plot",
-                          "variazione_settimanale", "variazione_giornaliera", "population"}
+    assert set(paths) >= {"result", "snapshot", "map", "scatter", "arrow", "weekly", "daily",
+                          "population"}
     res = spark.read.parquet(paths["result"])
     assert res.count() == C.full_result(spark, SF001).count()
-    files = glob.glob(os.path.join(paths["mappa"], "part-*.csv"))
+    files = glob.glob(os.path.join(paths["map"], "part-*.csv"))
     with open(files[0], encoding="utf-8") as fh:
         rows = list(csv.reader(fh))
     assert rows[0] == ["denominazione_regione", "indicatore_stress"]
