@@ -92,5 +92,25 @@ def population_by_entity(population_raw: DataFrame, cfg: PipelineConfig,
     return with_grand_total(counts, cfg.entity, [out], cfg.total_label)
 
 
+def snapshot_order(cfg: PipelineConfig, entity: str | None = None):
+    """Published row order of the snapshots: entities, the total row last."""
+    e = as_col(entity or cfg.entity)
+    return [(e == F.lit(cfg.total_label)).asc(), e.asc_nulls_last()]
+
+
+def arrow_order(cfg: PipelineConfig):
+    """Entities present at t first (total last), then those only at t-1."""
+    return [as_col(cfg.date).isNull().asc()] + snapshot_order(cfg)
+
+
+def weekly_order():
+    """Published row order of the weekly pivot: by week number, then year.
+    The week number is recovered from its Monday label (inverse of D6)."""
+    jan1 = F.make_date(F.col("year"), F.lit(1), F.lit(1))
+    first_sunday = F.date_add(jan1, ((F.lit(8) - F.dayofweek(jan1)) % 7).cast("int"))
+    week_no = F.floor((F.datediff(F.col("week"), first_sunday) - 1) / 7) + 1
+    return [week_no.asc(), F.col("year").asc()]
+
+
 def population_order(cfg: PipelineConfig, out: str = "popolazione_totale"):
     return [(as_col(cfg.entity) == F.lit(cfg.total_label)).asc(), as_col(out).desc()]

@@ -41,12 +41,18 @@ def run_all(spark: SparkSession, incidence, vaccination, dimension, out_dir: str
     write_result(P.full_result(incidence, vaccination, dimension, cfg), result_path, cfg.date)
     result = read_result(spark, result_path)
     written = {"result": result_path}
-    order = {"weekly": ["year", "week"]}
+    labels = dict((c, lab) for lab, c in cfg.table_labels)
+    order = {
+        "snapshot": R.snapshot_order(cfg, labels.get(cfg.entity, cfg.entity)),
+        "map": R.snapshot_order(cfg),
+        "scatter": R.snapshot_order(cfg),
+        "arrow": R.arrow_order(cfg),
+        "weekly": R.weekly_order(),
+        "daily": [cfg.date],
+    }
     for name, product in PRODUCTS.items():
         path = os.path.join(out_dir, "products", name)
-        df = product(result, cfg)
-        keys = order.get(name) or ([cfg.date] if cfg.date in df.columns else df.columns[:1])
-        publish_csv(df, path, order_by=keys)
+        publish_csv(product(result, cfg), path, order_by=order[name])
         written[name] = path
     if population is not None:
         path = os.path.join(out_dir, "population")

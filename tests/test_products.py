@@ -55,3 +55,24 @@ def test_refresh_runs_job_once_per_new_files(spark):
     refresh_on_arrival(spark, land, schemas.INCIDENCE, lambda: calls.append(1), ckpt)
     refresh_on_arrival(spark, land, schemas.INCIDENCE, lambda: calls.append(1), ckpt)
     assert calls == [1]
+
+
+def test_weekly_order_inverts_the_label(spark):
+    import datetime as dt
+    from pressio.functions import week_label
+    pairs = [(2022, 1), (2022, 20), (2021, 27), (2021, 52), (2021, 53), (1997, 53)]
+    df = spark.createDataFrame(pairs, "year int, w int").withColumn("week", week_label("year", "w"))
+    got = [(r["w"], r["year"]) for r in df.orderBy(*R.weekly_order()).collect()]
+    assert got == sorted((w, y) for y, w in pairs)
+
+
+def test_result_independent_of_shuffle_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        a = sorted(map(tuple, C.full_result(spark, SF001).collect()), key=repr)
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        b = sorted(map(tuple, C.full_result(spark, SF001).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert a == b
