@@ -52,7 +52,8 @@ def main() -> None:
                           extra={"spark.driver.memory": "16g",
                                  # local inputs are a few MB: let AQE keep several
                                  # small post-shuffle partitions so all cores work
-                                 "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"})
+                                 "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+                                 **json.loads(os.environ.get("BENCH_EXTRA_CONF", "{}"))})
     spark.sparkContext.setLogLevel("ERROR")
     # warm-up: JVM, parquet footers, code generation caches
     run(C.QUERIES["dimension_with_total"](spark, sf))

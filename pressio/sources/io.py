@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StructType
+from pyspark.sql.types import (DateType, NumericType, StringType, StructType,
+                               TimestampType)
 
 from ..functions import as_col, number_text
 
@@ -13,7 +14,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                fmt: str | None = None) -> DataFrame:
     """Read a landed feed (S1-S4) with a declared schema.
 
-    CSV: header row, ``NA`` and the empty string are NULL, UTF-8. Parquet:
+    CSV: header row, ``NA`` and the empty string are NULL, UTF-8; a cell
+    that does not parse as its declared type becomes NULL (the row is
+    kept), as the published pipeline's reader does. Parquet:
     the declared columns are selected and cast, so a source with extra
     columns or wider types is conformed at the scan (pruning applies).
     """
@@ -21,14 +24,22 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     if fmt == "csv":
         reader = (spark.read.option("header", True).option("nullValue", "NA")
                   .option("emptyValue", None).option("encoding", "UTF-8")
-                  .option("mode", "FAILFAST"))
+                  .option("mode", "PERMISSIVE"))
         if schema is not None:
             reader = reader.schema(schema)
         return reader.csv(path)
     df = spark.read.format(fmt).load(path)
     if schema is None:
         return df
-    return df.select(*[as_col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    native = {f.name: f.dataType for f in df.schema.fields}
+    cols = []
+    for f in schema.fields:
+        keep = (isinstance(f.dataType, StringType)
+                and isinstance(native.get(f.name), (DateType, TimestampType)))
+        # a typed day stays typed (its filters reach the scan); the
+        # pipeline parses only text days
+        cols.append(as_col(f.name) if keep else as_col(f.name).cast(f.dataType).alias(f.name))
+    return df.select(*cols)
 
 
 def write_result(df: DataFrame, path: str, date_col: str = "data") -> None:

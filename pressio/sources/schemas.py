@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (DateType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 INCIDENCE = StructType([
     StructField("data", StringType()),  # date-time text; the date token is used
@@ -14,7 +13,7 @@ INCIDENCE = StructType([
 ])
 
 VACCINATION = StructType([
-    StructField("data_somministrazione", DateType()),
+    StructField("data_somministrazione", StringType()),  # parsed by parse_day
     StructField("nome_area", StringType()),
     StructField("fascia_anagrafica", StringType()),
     StructField("fornitore", StringType()),

@@ -47,3 +47,19 @@ def test_result_round_trip_partitioned(spark):
     back = read_result(spark, os.path.join(d, "res"))
     assert sorted(tuple(r) for r in back.select("data", "e", "v").collect()) == \
         sorted(tuple(r) for r in df.collect())
+
+
+def test_vaccination_csv_bad_date_becomes_null_and_is_dropped(spark):
+    from pressio import REFERENCE
+    from pressio.plans.pipeline import conform_vaccinations
+    d = tempfile.mkdtemp(prefix="pressio-io-")
+    path = os.path.join(d, "vax.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("data_somministrazione,nome_area,fascia_anagrafica,fornitore,prima_dose,"
+                 "seconda_dose,pregressa_infezione\n")
+        fh.write("2021-02-30,Lazio,12-19,Pfizer,1,2,0\n")
+        fh.write("2021-03-01,Provincia Autonoma Trento,12-19,Janssen,x,2,0\n")
+    raw = read_table(spark, path, schemas.VACCINATION)
+    rows = conform_vaccinations(raw, REFERENCE).collect()
+    assert len(rows) == 1
+    assert rows[0]["denominazione_regione"] == "P.A. Trento" and rows[0]["prima_dose"] is None
