@@ -62,7 +62,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     named = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="pressio-ckpt-"))
+    if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by all executors; "
+                "a machine-local folder cannot hold checkpoints on a cluster")
+        named = tempfile.mkdtemp(prefix="pressio-ckpt-")
+    sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
