@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..functions import as_col, days_before, quote
+from ..functions import as_col, days_before
 
 
 def project(df: DataFrame, mapping) -> DataFrame:
@@ -130,6 +130,3 @@ def require_not_label(c, label: str, what: str = "entity") -> Column:
     return F.when(col == F.lit(label), F.raise_error(F.lit(
         f"{what} value equals the total label {label!r}"))).otherwise(col)
 
-
-def q(name: str) -> str:
-    return quote(name)
