@@ -11,14 +11,19 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["full_result", "vaccination_with_total", "lag_increment",
-                                  "join_right", "weighted_count", "dose_sums"])
+# The greatest (week, year) is a one-row global aggregate (a scalar subquery).
+GLOBAL_ONE_ROW = {"drop_last_key", "weekly_wide"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
 def test_no_python_and_no_single_partition(spark, name):
     p = plan(E.queries()[name](spark, SF001))
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
     assert "PythonUDF" not in p
-    assert "SinglePartition" not in p
-    assert "AdaptiveSparkPlan" in p
+    if name not in GLOBAL_ONE_ROW:
+        assert "SinglePartition" not in p
+    if "Exchange" in p:  # a product over the materialised result may need none
+        assert "AdaptiveSparkPlan" in p
 
 
 def test_scan_reads_only_needed_columns(spark):

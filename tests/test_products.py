@@ -76,3 +76,16 @@ def test_result_independent_of_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
+
+
+def test_weekly_product_independent_of_shuffle_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    try:
+        for n in ("2", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            wide = R.weekly_wide(_result(spark, SF01), CFG)
+            out.append(sorted((tuple(r) for r in wide.collect()), key=repr))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
