@@ -22,12 +22,18 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     """
     fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     if fmt == "csv":
-        reader = (spark.read.option("header", True).option("nullValue", "NA")
-                  .option("emptyValue", None).option("encoding", "UTF-8")
-                  .option("mode", "PERMISSIVE"))
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.csv(path)
+        # Columns are taken by header name (feeds carry more columns, in their
+        # own order), read as text and cast per declared type.
+        df = (spark.read.option("header", True).option("nullValue", "NA")
+              .option("emptyValue", None).option("encoding", "UTF-8")
+              .option("inferSchema", False).csv(path))
+        if schema is None:
+            return df
+        missing = [f.name for f in schema.fields if f.name not in df.columns]
+        if missing:
+            raise ValueError(f"{path}: missing columns {missing}")
+        return df.select(*[as_col(f.name).try_cast(f.dataType).alias(f.name)
+                           for f in schema.fields])
     df = spark.read.format(fmt).load(path)
     if schema is None:
         return df

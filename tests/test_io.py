@@ -63,3 +63,14 @@ def test_vaccination_csv_bad_date_becomes_null_and_is_dropped(spark):
     rows = conform_vaccinations(raw, REFERENCE).collect()
     assert len(rows) == 1
     assert rows[0]["denominazione_regione"] == "P.A. Trento" and rows[0]["prima_dose"] is None
+
+
+def test_csv_columns_taken_by_header_name(spark):
+    d = tempfile.mkdtemp(prefix="pressio-io-")
+    path = os.path.join(d, "feed.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("data,stato,codice_regione,denominazione_regione,lat,ricoverati_con_sintomi,"
+                 "terapia_intensiva,totale_casi,note\n")
+        fh.write("2020-02-24T18:00:00,ITA,13,Abruzzo,42.35,3,1,10,\n")
+    row = read_table(spark, path, schemas.INCIDENCE).first()
+    assert tuple(row) == ("2020-02-24T18:00:00", "Abruzzo", 10, 1, 3)
