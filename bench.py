@@ -18,7 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pressio.plans import catalog as C  # noqa: E402
-from pressio.plans import pipeline as P  # noqa: E402
+from pressio.plans import result as P  # noqa: E402
 from pressio.plans import products as R  # noqa: E402
 from pressio.session import build_session  # noqa: E402
 from pressio.sources import adapters as A  # noqa: E402

@@ -43,6 +43,18 @@ REFERENCE_SCATTER_LABELS = (
     ("Vaccinati (%)", "vaccinati_perc"),
     ("Incidenza (100'000 abitanti)", "incidenza"),
 )
+# Parameters of the published run.
+REFERENCE_TOTAL_LABEL = "Italia"
+REFERENCE_SINGLE_DOSE_SUPPLIER = "Janssen"
+REFERENCE_LAG_ROWS = 7
+REFERENCE_EFFICACY = 0.95
+REFERENCE_THRESHOLDS = (50, 150, 250)
+REFERENCE_PER = 100000
+REFERENCE_SNAPSHOT_LAG = 2
+REFERENCE_PREVIOUS_LAG = 3
+REFERENCE_LAST_DAYS = 60
+REFERENCE_WEEKLY_START = dt.date(2021, 7, 5)
+REFERENCE_AS_OF = dt.date(2022, 5, 19)  # the day the published files were made
 # -----------------------------------------------------------------------------
 
 
@@ -76,18 +88,18 @@ class PipelineConfig:
     raw_vax_entity: str = "nome_area"
 
     # parameters
-    total_label: str = "Italia"
-    single_dose_supplier: str = "Janssen"
+    total_label: str = REFERENCE_TOTAL_LABEL
+    single_dose_supplier: str = REFERENCE_SINGLE_DOSE_SUPPLIER
     recode: tuple = REFERENCE_RECODE
-    delta: int = 7
-    efficacy: float = 0.95
-    thresholds: tuple = (50, 150, 250)
-    per: int = 100000
-    snapshot_lag: int = 2
-    previous_lag: int = 3
-    last_days: int = 60
-    weekly_start: dt.date = dt.date(2021, 7, 5)
-    as_of: dt.date = dt.date(2022, 5, 19)
+    delta: int = REFERENCE_LAG_ROWS
+    efficacy: float = REFERENCE_EFFICACY
+    thresholds: tuple = REFERENCE_THRESHOLDS
+    per: int = REFERENCE_PER
+    snapshot_lag: int = REFERENCE_SNAPSHOT_LAG
+    previous_lag: int = REFERENCE_PREVIOUS_LAG
+    last_days: int = REFERENCE_LAST_DAYS
+    weekly_start: dt.date = REFERENCE_WEEKLY_START
+    as_of: dt.date = REFERENCE_AS_OF
     table_labels: tuple = REFERENCE_TABLE_LABELS
     scatter_labels: tuple = REFERENCE_SCATTER_LABELS
     # weekly mean: "decimal" (exact, order-independent) or "two_pass" (R's

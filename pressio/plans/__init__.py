@@ -1,5 +1,5 @@
 """Composed plans: the full result (P1) and its published shapes."""
 
-from . import pipeline, products
+from . import products, result
 
-__all__ = ["pipeline", "products"]
+__all__ = ["products", "result"]

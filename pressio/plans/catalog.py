@@ -16,7 +16,7 @@ from ..functions import (as_col, round_r, strict_mean, strict_running_sum,
 from ..operators import (date_range, drop_incomplete, drop_last_key,
                          lagged_increment, natural_join, recode, running_total)
 from ..sources import adapters as A
-from . import pipeline as P
+from . import result as P
 from . import products as R
 
 CFG = A.DRIVER

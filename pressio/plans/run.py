@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 
 from ..config import REFERENCE, PipelineConfig
 from ..sources import publish_csv, read_result, read_table, schemas, write_result
-from . import pipeline as P
+from . import result as P
 from . import products as R
 
 PRODUCTS = {

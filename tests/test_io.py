@@ -51,7 +51,7 @@ def test_result_round_trip_partitioned(spark):
 
 def test_vaccination_csv_bad_date_becomes_null_and_is_dropped(spark):
     from pressio import REFERENCE
-    from pressio.plans.pipeline import conform_vaccinations
+    from pressio.plans.result import conform_vaccinations
     d = tempfile.mkdtemp(prefix="pressio-io-")
     path = os.path.join(d, "vax.csv")
     with open(path, "w", encoding="utf-8") as fh:

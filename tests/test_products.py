@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
 from pressio.plans import catalog as C
-from pressio.plans import pipeline as P
+from pressio.plans import result as P
 from pressio.plans import products as R
 from pressio.streaming import refresh_on_arrival
 from pressio.sources import schemas
