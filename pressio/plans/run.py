@@ -2,8 +2,8 @@
 
 Mirrors the published pipeline's run (every few hours, full recompute,
 overwrite), re-expressed for Spark: the full result is written once as
-Parquet partitioned by month (S5) into the output folder; every product is
-read back from it (pruning on the month and the day) and written as one
+Parquet partitioned by day (S5) into the output folder; every product is
+read back from it (pruning on the day) and written as one
 small CSV each (S6, S7). A rerun overwrites all outputs, so the job is
 idempotent; a lost executor only recomputes the stage it was running.
 
@@ -39,7 +39,7 @@ def run_all(spark: SparkSession, incidence, vaccination, dimension, out_dir: str
     """Compute, write and publish; returns the written paths."""
     result_path = os.path.join(out_dir, "result")
     write_result(P.full_result(incidence, vaccination, dimension, cfg), result_path, cfg.date)
-    result = read_result(spark, result_path)
+    result = read_result(spark, result_path, cfg.date)
     written = {"result": result_path}
     labels = dict((c, lab) for lab, c in cfg.table_labels)
     order = {

@@ -49,17 +49,23 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
 
 
 def write_result(df: DataFrame, path: str, date_col: str = "data") -> None:
-    """Write the full result once (S5), partitioned by month of ``date_col``.
+    """Write the full result once (S5), one folder and one file per day.
 
-    Overwrites the whole target; the products read it back with partition
-    pruning on the month.
+    The result holds one row per (day, entity), so a day is a bounded unit;
+    repartitioning by the day first writes one file per day instead of one
+    per task and day. Every product filters on the day, so reading it back
+    prunes whole folders (snapshots read one, the daily pivot 59). The whole
+    target is overwritten: a rerun replaces it.
     """
-    (df.withColumn("month", F.date_format(as_col(date_col), "yyyy-MM"))
-     .write.mode("overwrite").partitionBy("month").parquet(path))
+    (df.repartition(as_col(date_col))
+     .write.mode("overwrite").partitionBy(date_col).parquet(path))
 
 
-def read_result(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("month")
+def read_result(spark: SparkSession, path: str, date_col: str = "data") -> DataFrame:
+    """Read the written result back with its day first, as it was written."""
+    df = spark.read.parquet(path)
+    others = [c for c in df.columns if c != date_col]
+    return df.select(as_col(date_col).cast("date").alias(date_col), *[as_col(c) for c in others])
 
 
 def publish_frame(df: DataFrame) -> DataFrame:
