@@ -3,8 +3,9 @@
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8). Each query runs to completion through a no-op sink, so the
 whole plan executes and nothing is collected to the driver. ``publish_all``
-is the production job: the full result materialised once, then all six
-published products and the population product from it.
+is the production job (``plans.run.run_all``): the full result written
+once, partitioned by day, then the six published files and the population
+file, into a fresh scratch folder.
 """
 
 from __future__ import annotations
@@ -13,13 +14,13 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pressio.plans import catalog as C  # noqa: E402
-from pressio.plans import result as P  # noqa: E402
-from pressio.plans import products as R  # noqa: E402
+from pressio.plans.run import run_all  # noqa: E402
 from pressio.session import build_session  # noqa: E402
 from pressio.sources import adapters as A  # noqa: E402
 
@@ -35,13 +36,11 @@ def run(df) -> None:
 
 
 def publish_all(spark, sf):
-    """P1 once, then P2-P8 from the materialised result."""
-    result = P.materialise(C.full_result(spark, sf))
-    cfg = C.CFG
-    for product in (R.snapshot_labelled, R.snapshot_map, R.snapshot_scatter, R.arrow,
-                    R.weekly_wide, R.daily_wide):
-        run(product(result, cfg))
-    run(R.population_by_entity(A.population_raw(spark, sf), cfg))
+    """The batch job: P1 written once (partitioned by day), then the six
+    published files and the population file, into a fresh scratch folder."""
+    out = tempfile.mkdtemp(prefix="pressio-bench-")
+    run_all(spark, A.incidence_raw(spark, sf), A.vaccination_raw(spark, sf),
+            A.dimension_raw(spark, sf), out, C.CFG, population=A.population_raw(spark, sf))
 
 
 def main() -> None:

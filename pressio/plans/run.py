@@ -2,8 +2,8 @@
 
 Mirrors the published pipeline's run (every few hours, full recompute,
 overwrite), re-expressed for Spark: the full result is written once as
-Parquet partitioned by day (S5) into the output folder; every product is
-read back from it (pruning on the day) and written as one
+Parquet partitioned by month (S5) into the output folder; every product is
+read back from the months it needs (partition pruning) and written as one
 small CSV each (S6, S7). A rerun overwrites all outputs, so the job is
 idempotent; a lost executor only recomputes the stage it was running.
 
@@ -21,6 +21,7 @@ from pyspark.sql import SparkSession
 
 from ..config import REFERENCE, PipelineConfig
 from ..sources import publish_csv, read_result, read_table, schemas, write_result
+from ..sources.io import months
 from . import result as P
 from . import products as R
 
@@ -34,12 +35,22 @@ PRODUCTS = {
 }
 
 
+def product_months(cfg: PipelineConfig) -> dict:
+    """The result months each product reads (partition pruning)."""
+    snap = months(cfg.day(cfg.snapshot_lag), cfg.day(cfg.snapshot_lag))
+    return {
+        "snapshot": snap, "map": snap, "scatter": snap,
+        "arrow": months(cfg.day(cfg.previous_lag), cfg.day(cfg.snapshot_lag)),
+        "weekly": months(cfg.weekly_start, cfg.as_of),
+        "daily": months(cfg.day(cfg.last_days), cfg.day(cfg.snapshot_lag)),
+    }
+
+
 def run_all(spark: SparkSession, incidence, vaccination, dimension, out_dir: str,
             cfg: PipelineConfig = REFERENCE, population=None) -> dict:
     """Compute, write and publish; returns the written paths."""
     result_path = os.path.join(out_dir, "result")
     write_result(P.full_result(incidence, vaccination, dimension, cfg), result_path, cfg.date)
-    result = read_result(spark, result_path, cfg.date)
     written = {"result": result_path}
     labels = dict((c, lab) for lab, c in cfg.table_labels)
     order = {
@@ -50,8 +61,10 @@ def run_all(spark: SparkSession, incidence, vaccination, dimension, out_dir: str
         "weekly": R.weekly_order(),
         "daily": [cfg.date],
     }
+    needed = product_months(cfg)
     for name, product in PRODUCTS.items():
         path = os.path.join(out_dir, "products", name)
+        result = read_result(spark, result_path, needed[name])
         publish_csv(product(result, cfg), path, order_by=order[name])
         written[name] = path
     if population is not None:

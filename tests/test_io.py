@@ -38,20 +38,23 @@ def test_publish_csv_text(spark):
 
 
 def test_result_round_trip_partitioned(spark):
-    from pyspark.sql import functions as F
+    from pressio.sources.io import months
     d = tempfile.mkdtemp(prefix="pressio-io-")
     df = spark.createDataFrame([(dt.date(2022, 5, 17), "A", 1.5), (dt.date(2022, 4, 1), "B", 2.0),
-                                (dt.date(2022, 5, 17), "C", 3.0)], "data date, e string, v double")
+                                (dt.date(2022, 5, 3), "C", 3.0)], "data date, e string, v double")
     write_result(df, os.path.join(d, "res"))
-    days = sorted(x for x in os.listdir(os.path.join(d, "res")) if x.startswith("data="))
-    assert days == ["data=2022-04-01", "data=2022-05-17"]
-    assert len(glob.glob(os.path.join(d, "res", "data=2022-05-17", "*.parquet"))) == 1
+    parts = sorted(x for x in os.listdir(os.path.join(d, "res")) if x.startswith("month="))
+    assert parts == ["month=2022-04", "month=2022-05"]
+    assert len(glob.glob(os.path.join(d, "res", "month=2022-05", "*.parquet"))) == 1
     back = read_result(spark, os.path.join(d, "res"))
     assert back.columns == ["data", "e", "v"]
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
-    snap = back.filter(F.col("data") == F.lit(dt.date(2022, 5, 17)))
-    plan = snap._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(data" in plan and "2022-05-17" in plan
+    may = read_result(spark, os.path.join(d, "res"), months(dt.date(2022, 5, 17), dt.date(2022, 5, 17)))
+    plan = may._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2022-05" in plan
+    assert sorted(r["e"] for r in may.collect()) == ["A", "C"]
+    assert months(dt.date(2021, 11, 5), dt.date(2022, 2, 1)) == ["2021-11", "2021-12", "2022-01",
+                                                                  "2022-02"]
 
 
 def test_vaccination_csv_bad_date_becomes_null_and_is_dropped(spark):
