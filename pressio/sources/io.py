@@ -100,9 +100,11 @@ def publish_csv(df: DataFrame, path: str, order_by=None) -> None:
     Only for the small products (tens to thousands of rows); the single
     output partition is the point of the product, not a shortcut.
     """
-    out = publish_frame(df)
+    # one partition by a shuffle (the product's own stages stay parallel),
+    # then a sort inside it: no range-partition sampling job for a small file
+    out = df.repartition(1)
     if order_by is not None:
-        out = out.orderBy(*order_by)
-    (out.coalesce(1).write.mode("overwrite").option("header", True)
+        out = out.sortWithinPartitions(*order_by)
+    (publish_frame(out).write.mode("overwrite").option("header", True)
      .option("nullValue", "NA").option("emptyValue", "")
      .option("encoding", "UTF-8").csv(path))
