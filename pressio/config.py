@@ -102,9 +102,10 @@ class PipelineConfig:
     as_of: dt.date = REFERENCE_AS_OF
     table_labels: tuple = REFERENCE_TABLE_LABELS
     scatter_labels: tuple = REFERENCE_SCATTER_LABELS
-    # weekly mean: "decimal" (exact, order-independent) or "two_pass" (R's
-    # binary mean, last bit depends on summation order); see mean_by
-    mean_method: str = "decimal"
+    # weekly mean: "two_pass" (R's mean of the binary doubles, summed in a
+    # fixed order, so deterministic) or "decimal" (exact decimal mean); see
+    # mean_by
+    mean_method: str = "two_pass"
     # pivots above this many names are refused (publish long form instead)
     pivot_max_values: int = 10000
     # a join side is broadcast only when it has at most this many rows

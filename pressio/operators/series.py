@@ -26,25 +26,24 @@ def sum_by(df: DataFrame, keys: Sequence[str],
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, out: str,
-            method: str = "avg", scale: int = 2) -> DataFrame:
+            method: str = "avg", scale: int = 2, max_group: int = 366) -> DataFrame:
     """Strict mean of ``value`` per key.
 
     ``method``:
 
     * ``"avg"`` - Spark's ``avg`` (sum / count), partial aggregation.
     * ``"decimal"`` - exact mean of values that carry at most ``scale``
-      decimals (the pipeline's index is rounded to 2 before it is averaged):
-      the integer sum of ``x * 10^scale`` and the count are aggregated
-      exactly, then divided once. Independent of row order and
-      partitioning, partial aggregation only (a hot key is pre-aggregated
-      per map task), and a rounding of the mean decides ties the same way
-      on every run and in every engine.
-    * ``"two_pass"`` - ``m + avg(x - m)`` with ``m = avg(x)``, the mean R
-      computes on the binary doubles. It follows R even where a decimal tie
-      is broken by binary noise, but its last bit depends on summation
-      order, so it can differ between runs. The first pass is a window on
-      the same keys as the aggregate (one exchange); the window buffers one
-      group.
+      decimals: the integer sum of ``x * 10^scale`` and the count are
+      aggregated exactly, then divided once. Independent of row order and
+      partitioning, partial aggregation only, any group size.
+    * ``"two_pass"`` - the mean R computes on binary doubles,
+      ``m + sum(x - m) / n`` with ``m = sum(x) / n``, where both sums fold the
+      group's values in ascending order. The fixed order makes the result
+      the same on every run, partitioning and engine; the two passes make it
+      correctly rounded, which decides ties when the mean is rounded. Meant
+      for period means (one value per day and entity, so a group is a
+      week's or a month's days): a group of more than ``max_group`` values
+      fails the job.
     """
     x = as_col(value)
     keycols = [as_col(k) for k in keys]
@@ -58,10 +57,16 @@ def mean_by(df: DataFrame, keys: Sequence[str], value: str, out: str,
                 / (F.count(F.lit(1)) * F.lit(p)).cast("double"))
         return df.groupBy(*keycols).agg(F.when(complete, mean).alias(out))
     if method == "two_pass":
-        w = Window.partitionBy(*keycols)
-        with_m = df.withColumn("_m", F.avg(x).over(w))
-        return (with_m.groupBy(*keycols)
-                .agg(F.when(complete, F.max("_m") + F.avg(x - F.col("_m"))).alias(out)))
+        too_big = F.raise_error(F.lit(f"mean_by: a group holds more than {max_group} values"))
+        g = df.groupBy(*keycols).agg(
+            F.when(F.count(F.lit(1)) > max_group, too_big)
+            .otherwise(F.sort_array(F.collect_list(x.cast("double")))).alias("_v"),
+            complete.alias("_ok"))
+        n = F.size("_v").cast("double")
+        g = g.withColumn("_m", F.aggregate("_v", F.lit(0.0), lambda a, v: a + v) / n)
+        r = F.aggregate("_v", F.lit(0.0), lambda a, v: a + (v - F.col("_m"))) / n
+        mean = F.when(F.col("_ok") & (F.size("_v") > 0), F.col("_m") + r)
+        return g.select(*[as_col(k) for k in keys], mean.alias(out))
     raise ValueError(f"unknown mean method {method!r}")
 
 

@@ -201,12 +201,19 @@ FROM vax_series v LEFT JOIN j1 j
 SELECT {week_no('data')} AS week, CAST(year(data) AS INTEGER) AS year,
        denominazione_regione, indicatore_stress
 FROM res WHERE data BETWEEN {day(CFG.weekly_start)} AND {day(CFG.as_of)}"""),
-    ("wl", f"""
+    ("wv", """
 SELECT week, year, denominazione_regione,
-       CASE WHEN COUNT(indicatore_stress) = COUNT(*)
-            THEN CAST(SUM(CAST(round(indicatore_stress * {dbl(100)}) AS BIGINT)) AS DOUBLE)
-                 / CAST(COUNT(*) * 100 AS DOUBLE) END AS mean
+       list_sort(list(indicatore_stress)) AS v,
+       COUNT(indicatore_stress) = COUNT(*) AS ok
 FROM wk GROUP BY week, year, denominazione_regione"""),
+    ("wm", """
+SELECT *, list_reduce(v, lambda a, b: a + b) / CAST(len(v) AS DOUBLE) AS m FROM wv"""),
+    ("wl", """
+SELECT week, year, denominazione_regione,
+       CASE WHEN ok AND len(v) > 0
+            THEN m + list_reduce(list_transform(v, lambda t: t - m), lambda a, b: a + b)
+                     / CAST(len(v) AS DOUBLE) END AS mean
+FROM wm"""),
     ("weekly_long", f"""
 SELECT week, year, denominazione_regione, {round_r('mean', 2)} AS media_indicatore_stress
 FROM wl WHERE week IS NOT NULL AND year IS NOT NULL AND denominazione_regione IS NOT NULL

@@ -143,3 +143,20 @@ def test_sum_by_collapses_non_numeric(spark):
     assert out.columns == ["d", "e", "s", "a", "b"]
     r = out.first()
     assert r["a"] == 4 and r["b"] is None
+
+
+def test_two_pass_mean_refuses_oversized_groups(spark):
+    df = spark.createDataFrame([("a", float(i)) for i in range(10)], "k string, x double")
+    got = mean_by(df, ["k"], "x", "m", method="two_pass", max_group=10).first()["m"]
+    assert got == 4.5
+    with pytest.raises(Exception, match="more than 5 values"):
+        mean_by(df, ["k"], "x", "m", method="two_pass", max_group=5).collect()
+
+
+def test_two_pass_mean_is_order_independent(spark):
+    vals = [-8.92, -35.42, 0.12, 13.01, -5.37, 21.01]  # mean is the decimal tie -2.595
+    a = spark.createDataFrame([("k", v) for v in vals], "k string, x double")
+    b = spark.createDataFrame([("k", v) for v in reversed(vals)], "k string, x double").repartition(3)
+    ma = mean_by(a, ["k"], "x", "m", method="two_pass").first()["m"]
+    mb = mean_by(b, ["k"], "x", "m", method="two_pass").first()["m"]
+    assert ma == mb
