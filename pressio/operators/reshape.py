@@ -51,6 +51,8 @@ def pivot_wide(df: DataFrame, ids: Sequence[str], names_from: str, values_from:
     """
     if names is None:
         names = pivot_names(df, names_from, sort_names, order_by, max_values)
+    if not names:  # no rows: the ids alone, one row per id combination
+        return df.select(*[as_col(i) for i in ids]).distinct()
     name = F.coalesce(as_col(names_from).cast("string"), F.lit(NULL_NAME))
     base = df.select(*[as_col(i) for i in ids], name.alias("_name"),
                      as_col(values_from).alias("_v"))

@@ -83,14 +83,25 @@ def main(argv=None) -> None:
     ap.add_argument("--population")
     ap.add_argument("--out", required=True)
     ap.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
+    ap.add_argument("--weekly-start", type=dt.date.fromisoformat,
+                    default=REFERENCE.weekly_start)
+    ap.add_argument("--total-label", default=REFERENCE.total_label)
+    ap.add_argument("--single-dose-supplier", default=REFERENCE.single_dose_supplier)
+    ap.add_argument("--format", default="csv", choices=["csv", "parquet"],
+                    help="format of the landed feeds (default csv)")
+    ap.add_argument("--master", help="only for local runs, e.g. local[8]")
     args = ap.parse_args(argv)
     from ..session import build_session
-    spark = build_session()
-    cfg = REFERENCE.with_(as_of=args.as_of)
-    inc = read_table(spark, args.incidence, schemas.INCIDENCE)
-    vax = read_table(spark, args.vaccination, schemas.VACCINATION)
-    dim = read_table(spark, args.dimension, schemas.DIMENSION)
-    pop = read_table(spark, args.population, schemas.POPULATION) if args.population else None
+    spark = build_session(args.master)
+    cfg = REFERENCE.with_(as_of=args.as_of, weekly_start=args.weekly_start,
+                          total_label=args.total_label,
+                          single_dose_supplier=args.single_dose_supplier)
+    fmt = args.format
+    inc = read_table(spark, args.incidence, schemas.INCIDENCE, fmt)
+    vax = read_table(spark, args.vaccination, schemas.VACCINATION, fmt)
+    dim = read_table(spark, args.dimension, schemas.DIMENSION, fmt)
+    pop = (read_table(spark, args.population, schemas.POPULATION, fmt)
+           if args.population else None)
     for k, v in run_all(spark, inc, vax, dim, args.out, cfg, pop).items():
         print(k, v)
 
