@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import (as_col, round_r, strict_mean, strict_running_sum,
+from ..functions import (round_r, strict_mean, strict_running_sum,
                          strict_sum, week_label, week_number)
 from ..operators import (date_range, drop_incomplete, drop_last_key,
-                         lagged_increment, natural_join, recode, running_total)
+                         lagged_increment, natural_join, pivot_wide, recode,
+                         running_total, sum_with_total, with_total)
 from ..sources import adapters as A
 from . import result as P
 from . import products as R
@@ -65,14 +66,12 @@ def completed_courses(spark, sf):
 
 
 def incidence_with_total(spark, sf):
-    from ..operators import with_total
     prepared = conform_incidence(spark, sf)
     return with_total(prepared, CFG.date, CFG.entity, CFG.incidence_measures,
                       CFG.total_label)
 
 
 def vaccination_with_total(spark, sf):
-    from ..operators import sum_with_total
     return sum_with_total(completed_courses(spark, sf), CFG.date, CFG.entity,
                           CFG.course_total, CFG.new_vaccinated, CFG.total_label)
 
@@ -178,7 +177,6 @@ def daily_wide(spark, sf):
 def events_daily_wide(spark, sf):
     """The daily pivot on the dense events table: one column per event type,
     the day's summed value rounded to 2 decimals."""
-    from ..operators import pivot_wide
     ev = A.table(spark, sf, "events").select("ts", "event_type", "value")
     daily = (ev.groupBy(F.to_date("ts").alias("day"), F.col("event_type"))
              .agg(round_r(F.sum("value"), 2).alias("value")))
