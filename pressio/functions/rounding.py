@@ -55,17 +55,20 @@ def number_text(c) -> Column:
 
     Integral values print without a fractional part and without exponent
     (``10``, ``17116550``); other values print their shortest round-trip
-    digits (``86.50999999999999``). NULL stays NULL (the sink writes ``NA``).
+    digits (``86.50999999999999``), in plain notation where Java would use
+    an exponent. Magnitudes of 1e15 and more are integral doubles and print
+    all their digits; below 1e-15 the exponent form is kept. NULL stays NULL
+    (the sink writes ``NA``).
     """
     x = as_col(c)
     d = x.cast("double")
-    integral = (F.abs(d) < F.lit(1e15)) & (d == F.floor(d))
+    a = F.abs(d)
     plain = F.regexp_replace(
         F.regexp_replace(d.cast("decimal(38,15)").cast("string"), r"0+$", ""),
         r"\.$", "")
     short = d.cast("string")
-    text = (F.when(integral, F.floor(d).cast("string"))
-            .when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), short)
-            .when(short.contains("E"), plain)
-            .otherwise(short))
-    return text
+    return (F.when(F.isnan(d) | (a == F.lit(float("inf"))), short)
+            .when(a >= F.lit(1e15), F.format_string("%.0f", d))
+            .when(d == F.floor(d), F.floor(d).cast("string"))
+            .when((a < F.lit(1e-15)) | ~short.contains("E"), short)
+            .otherwise(plain))

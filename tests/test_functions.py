@@ -107,6 +107,9 @@ def test_week_label_matches_strftime(spark):
 
 
 def test_number_text(spark):
-    df = one_col(spark, [10.0, 17116550.0, 86.50999999999999, None, 0.05, 123456789.25])
+    df = one_col(spark, [10.0, 17116550.0, 86.50999999999999, None, 0.05, 123456789.25,
+                         -3.64, 0.00012, 1e23, 1e-20, 2.0 ** 60])
     got = [r["t"] for r in df.select(number_text("x").alias("t")).collect()]
-    assert got == ["10", "17116550", "86.50999999999999", None, "0.05", "123456789.25"]
+    assert got == ["10", "17116550", "86.50999999999999", None, "0.05", "123456789.25",
+                   "-3.64", "0.00012", "99999999999999990000000", "1.0E-20",
+                   "1152921504606846980"]
