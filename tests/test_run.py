@@ -30,3 +30,22 @@ def test_run_all_publishes_every_product(spark):
     assert prow[-1][0] == "TOTAL"
     vals = [int(r[1]) for r in prow[1:-1]]
     assert vals == sorted(vals, reverse=True)
+
+
+def test_cli_from_csv_feeds(spark):
+    from pressio.plans.run import main
+    feeds = tempfile.mkdtemp(prefix="pressio-feeds-")
+    for name, df in [("inc", A.incidence_raw(spark, SF001)), ("vax", A.vaccination_raw(spark, SF001)),
+                     ("dim", A.dimension_raw(spark, SF001))]:
+        df.coalesce(1).write.option("header", True).csv(os.path.join(feeds, name))
+    out = os.path.join(feeds, "out")
+    main(["--incidence", os.path.join(feeds, "inc"), "--vaccination", os.path.join(feeds, "vax"),
+          "--dimension", os.path.join(feeds, "dim"), "--out", out, "--as-of", "1998-06-03",
+          "--weekly-start", "1997-07-05", "--total-label", "TOTAL",
+          "--single-dose-supplier", "R"])
+    res = spark.read.parquet(os.path.join(out, "result"))
+    assert res.count() == C.full_result(spark, SF001).count()
+    snap = glob.glob(os.path.join(out, "products", "snapshot", "part-*.csv"))
+    with open(snap[0], encoding="utf-8") as fh:
+        rows = list(csv.reader(fh))
+    assert len(rows[0]) == 31 and rows[-1][1] == "TOTAL"
