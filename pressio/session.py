@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,6 +36,8 @@ def build_session(master: str | None = None, app: str = "pressio",
     conf = dict(SESSION_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # checkpoint copies go when nothing refers to them any more
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -63,7 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # executors in other processes
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder shared by all executors; "
                 "a machine-local folder cannot hold checkpoints on a cluster")
@@ -77,7 +79,3 @@ def apply_conf(spark: SparkSession) -> SparkSession:
         spark.conf.set(k, v)
     return spark
 
-
-def scratch_dir(prefix: str = "pressio-") -> str:
-    """A fresh scratch folder (tests and local benches only)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("PRESSIO_SCRATCH"))

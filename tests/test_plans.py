@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from pressio.plans import catalog
 
 
 def plan(df):
@@ -15,7 +16,7 @@ def plan(df):
 GLOBAL_ONE_ROW = {"drop_last_key", "weekly_wide"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_and_no_single_partition(spark, name):
     p = plan(E.queries()[name](spark, SF001))
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
