@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import warc
-from ._common import shared_folder, table
+from . import mixing, warc
+from ._common import shared_folder, table, word_count
 
 
 def op2_warc_revisit(spark: SparkSession, sf: str) -> DataFrame:
@@ -22,3 +22,10 @@ def op2_warc_revisit(spark: SparkSession, sf: str) -> DataFrame:
         warc.page_id_of(F.col("record_id")).alias("page_id"),
         F.col("declared_bytes").alias("payload_bytes"), "payload_digest", "record_type",
         warc.page_id_of(F.col("refers_to_id")).alias("refers_to"))
+
+
+def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Mix all documents to the weights 3, 1, 2 by source."""
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"))
+    return mixing.taken(docs)
