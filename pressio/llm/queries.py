@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, warc
+from . import bpe, mixing, warc
 from ._common import shared_folder, table, word_count
 
 
@@ -29,3 +29,17 @@ def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select(
         "doc_id", "source", word_count(F.col("text")).alias("size"))
     return mixing.taken(docs)
+
+
+def op6_bpe_roundtrip(spark: SparkSession, sf: str, vocabulary: str | None = None) -> DataFrame:
+    """Encode every text, decode the ids, and digest both. ``vocabulary`` is
+    the path of a byte-level vocabulary file; unset, the installed public one."""
+    if vocabulary is None:
+        import public_tokenizers
+        vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    done = bpe.decode(bpe.encode(docs, vocabulary).select("doc_id", "ids"), vocabulary)
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
