@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, warc
+from . import bpe, langid, mixing, warc
 from ._common import shared_folder, table, word_count
 
 
@@ -43,3 +43,14 @@ def op6_bpe_roundtrip(spark: SparkSession, sf: str, vocabulary: str | None = Non
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Predict the language of every document; learn from two thirds of them.
+    A document without an id is not learnt from and not held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~held_out))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score", "rejected")
