@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, warc
+from . import bpe, langid, mixing, quality, warc
 from ._common import shared_folder, table, word_count
 
 
@@ -54,3 +54,10 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
     found = langid.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
                         "lang_pred", "score", "rejected")
+
+
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """The quality of every document: source as host, language as path."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source", "lang")
+    judged = quality.judge(docs, table(spark, sf, "labels"))
+    return judged.select("doc_id", "p_doc", "host_rate", "path_rate", "p_quality", "kept")

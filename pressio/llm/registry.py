@@ -7,6 +7,7 @@ from .oracles import ORACLES
 
 QUERIES = {fn.__name__: fn for fn in (
     Q.op2_warc_revisit,
+    Q.op4_quality,
     Q.op6_bpe_roundtrip,
     Q.op7_language_id,
     Q.op8_mixing,
