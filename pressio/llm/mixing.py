@@ -228,7 +228,9 @@ def taken(docs: DataFrame, block: int = BLOCK, **kw) -> DataFrame:
     sized = cut(docs)
     pos, pieces, slots = mix(sized, block, **kw)
     times = slots.groupBy("_rank", "block").agg(F.count(F.lit(1)).alias("_times"))
-    got = (pieces.join(times, ["_rank", "block"])
+    # the slots come from a range whose size says nothing of theirs: without
+    # the hint they would be broadcast on its estimate
+    got = (pieces.join(times.hint("merge"), ["_rank", "block"])
            .groupBy("_rank", "_start").agg(F.sum(F.col("piece_words") * F.col("_times")).alias("_got"))
            .select(F.col("_rank").alias("_r"), F.col("_start").alias("_s"), "_got"))
     on = (F.col("_rank") == F.col("_r")) & (F.col("_start") == F.col("_s")) & (F.col("size") > 0)
@@ -246,7 +248,7 @@ def mix_texts(docs: DataFrame, block: int = BLOCK, **kw) -> DataFrame:
     sized = docs.select("*", word_count(F.col("text")).alias("size"))
     small = cut(sized.select("doc_id", "source", "size", F.xxhash64("text").alias("_h")))
     pos, pieces, slots = mix(small, block, salt=("_h",), **kw)
-    got = (pieces.join(slots, ["_rank", "block"])
+    got = (pieces.join(slots.hint("merge"), ["_rank", "block"])
            .groupBy("_rank", "_start", "epoch")
            .agg(F.sort_array(F.collect_list(F.struct("piece_first", "piece_words"))).alias("_p")))
     key = ["doc_id", "source", "size", "_h"]
