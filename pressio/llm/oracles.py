@@ -21,6 +21,38 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM b JOIN m USING (payload_digest)
 """
 
+OP1 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * c >= 85 * (nx.n + ny.n - c)
+), sides AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT reach.doc_id, sides.y FROM reach JOIN sides ON reach.r = sides.x
+)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r) AS component_id,
+  d.doc_id = min(r) AS kept
+FROM documents d JOIN reach ON reach.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
 ORACLES = {
+    "op1_minhash": OP1,
     "op2_warc_revisit": OP2,
 }

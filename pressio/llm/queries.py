@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality, warc
+from . import bpe, langid, minhash, mixing, quality, warc
 from ._common import shared_folder, table, word_count
 
 
@@ -61,3 +61,8 @@ def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "source", "lang")
     judged = quality.judge(docs, table(spark, sf, "labels"))
     return judged.select("doc_id", "p_doc", "host_rate", "path_rate", "p_quality", "kept")
+
+
+def op1_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate documents at a Jaccard similarity of 0.85."""
+    return minhash.near_duplicates(table(spark, sf, "documents"))

@@ -6,6 +6,7 @@ from . import queries as Q
 from .oracles import ORACLES
 
 QUERIES = {fn.__name__: fn for fn in (
+    Q.op1_minhash,
     Q.op2_warc_revisit,
     Q.op4_quality,
     Q.op6_bpe_roundtrip,
