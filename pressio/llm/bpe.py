@@ -36,7 +36,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from ._common import chunks, cut
 
-LEAF = 16_384
+LEAF = 65_536
 WINDOW = 64
 # Segments kept by a worker; when full, it starts over. Bounds memory only.
 KEPT = 300_000
