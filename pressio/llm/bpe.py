@@ -24,6 +24,7 @@ string in a text is its id, as the library does; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import lru_cache
@@ -38,67 +39,65 @@ from ._common import chunks, cut
 
 LEAF = 65_536
 WINDOW = 64
-# Segments kept by a worker; when full, it starts over. Bounds memory only.
-KEPT = 300_000
-SEGMENT = re.compile(r"\s*\S+|\s+")
 SPECIAL = "<|endoftext|>"
+# Fixed value: the pre-tokenizer's pattern in the public vocabulary files.
+PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# Characters whose class no version of Unicode has changed.
+LATIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\u017f\u2010-\u2027\u20ac]*")
 
 
 class Codec:
-    """The tokenizers library's encoder of one vocabulary file.
+    """The encoder of one byte-level vocabulary file of the tokenizers library.
 
-    Texts are cut before each white space that follows other characters,
-    where the pre-tokenizer always starts a piece, and each distinct segment
-    is encoded once.
+    Texts of Latin letters and common signs, by far the most, go through
+    tiktoken with the same vocabulary, which gives the same ids several times
+    as fast; where the two libraries could class a character differently, or
+    the special token's string occurs, the tokenizers library encodes.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
         n = self.tok.get_vocab_size(with_added_tokens=True)
-        # in a byte-level vocabulary each character stands for one byte
-        self.lengths = np.array([len(self.tok.id_to_token(i) or "") for i in range(n)], np.int64)
-        self.kept: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=np.int32) for e in found]
-
-    def _learn(self, missing: list[str]) -> None:
-        """Segments that begin with white space and end without it can be
-        encoded back to back and told apart by their lengths in bytes."""
-        glued = [s for s in missing if s[0].isspace() and not s[-1].isspace()]
-        alone = [s for s in missing if not (s[0].isspace() and not s[-1].isspace())]
-        for s, ids in zip(alone, self._ids(alone)):
-            self.kept[s] = ids.tobytes()
-        for i in range(0, len(glued), 2000):
-            part = glued[i:i + 2000]
-            ids = self._ids(["".join(part)])[0]
-            ends = np.cumsum([len(s.encode()) for s in part])
-            at = np.cumsum(self.lengths[ids])
-            cuts = np.searchsorted(at, ends)
-            if not np.array_equal(at[cuts], ends):
-                raise AssertionError("a token crosses a segment")
-            lo = 0
-            for s, hi in zip(part, cuts + 1):
-                self.kept[s] = ids[lo:hi].tobytes()
-                lo = hi
+        added = self.tok.get_added_tokens_decoder()
+        byte = {c: b for b, c in _byte_characters().items()}
+        self.bytes = [bytes(byte[c] for c in self.tok.id_to_token(i)) for i in range(n)]
+        self.lengths = np.array([len(x) for x in self.bytes], np.int64)
+        self.special = [t.content for t in added.values()]
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"]["".join(m)] for m in pairs]
+        self.fast = None
+        if made == sorted(made):  # an id is then its merge's rank
+            ranks = {self.bytes[i]: i for i in range(n) if i not in added}
+            self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks,
+                                          special_tokens={})
+
+    def encode_one(self, text: str) -> np.ndarray:
+        if (self.fast and LATIN.fullmatch(text)
+                and not any(s in text for s in self.special)):
+            return np.array(self.fast.encode_ordinary(text), dtype=np.int32)
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.kept) > KEPT:
-            self.kept.clear()
-        cut_up = [SEGMENT.findall(t) for t in texts]
-        kept = self.kept
-        missing = {s for segs in cut_up for s in segs if s not in kept}
-        self._learn(list(missing))
-        return [np.frombuffer(b"".join([kept[s] for s in segs]), dtype=np.int32)
-                for segs in cut_up]
+        return [self.encode_one(t) for t in texts]
 
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tok.decode_batch(ids, skip_special_tokens=False)
+    def decode(self, ids: list[int]) -> str:
+        of = self.bytes
+        return b"".join([of[i] for i in ids]).decode("utf-8", "replace")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    a visible Latin-1 character for itself, the others from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 @lru_cache(maxsize=2)
@@ -147,7 +146,7 @@ def join(c: Codec, left: str, a: np.ndarray, right: str, b: np.ndarray,
         ltail, rhead = left[-w:], right[:w]
         text = ltail + rhead
         mid = len(ltail)
-        ids = c._ids([text])[0]
+        ids = c.encode_one(text)
         chars, ends = _places(c, text, ids)
         tokens = {int(x): i for i, x in enumerate(ends)}
         # tokens of the left side by distance from its end, of the right from its start
@@ -269,7 +268,10 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                texts = c.decode([x or [] for x in part.column(ids).to_pylist()])
+                col = part.column(ids)
+                flat = np.asarray(col.flatten()).tolist()
+                ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(col), 0)).tolist()
+                texts = [c.decode(flat[a:b]) for a, b in zip([0, *ends], ends)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
                                                  names=[*names, out])
 
