@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, mixing, quality, warc
+from . import bpe, langid, minhash, mixing, quality, suffix_dedup, warc
 from ._common import shared_folder, table, word_count
 
 
@@ -66,3 +66,10 @@ def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op1_minhash(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate documents at a Jaccard similarity of 0.85."""
     return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Remove every byte covered by 100 bytes that also start earlier."""
+    found = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                        F.sha2("kept", 256).alias("kept_sha256"))

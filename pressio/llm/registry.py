@@ -12,6 +12,7 @@ QUERIES = {fn.__name__: fn for fn in (
     Q.op6_bpe_roundtrip,
     Q.op7_language_id,
     Q.op8_mixing,
+    Q.op9_suffix_dedup,
 )}
 
 
