@@ -52,7 +52,23 @@ FROM documents d JOIN reach ON reach.doc_id = d.doc_id LEFT JOIN n ON n.doc_id =
 GROUP BY d.doc_id
 """
 
+OP10 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding,
+    lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.e, d.e) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 ORACLES = {
+    "op10_knn_join": OP10,
     "op1_minhash": OP1,
     "op2_warc_revisit": OP2,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, mixing, quality, suffix_dedup, warc
+from . import bpe, knn_join, langid, minhash, mixing, quality, suffix_dedup, warc
 from ._common import shared_folder, table, word_count
 
 
@@ -73,3 +73,9 @@ def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans",
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_knn_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The five best of all vectors for each whose id is divisible by 50."""
+    vectors = knn_join.quantised(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return knn_join.top_k(vectors.filter("id % 50 = 0"), vectors, 5)

@@ -13,6 +13,7 @@ QUERIES = {fn.__name__: fn for fn in (
     Q.op7_language_id,
     Q.op8_mixing,
     Q.op9_suffix_dedup,
+    Q.op10_knn_join,
 )}
 
 
