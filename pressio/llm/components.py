@@ -23,9 +23,9 @@ def _state(e: DataFrame) -> tuple:
 
 def connected_components(links: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, component) of every node that has a link; component is the
-    smallest node reachable. NULL ends and self links are ignored, repeated
+    smallest node reachable (nodes are of any type that has an order). NULL ends and self links are ignored, repeated
     links count once, an empty table gives no rows."""
-    a, b = F.col(src).cast("long"), F.col(dst).cast("long")
+    a, b = F.col(src), F.col(dst)
     e = cut(links.filter(a.isNotNull() & b.isNotNull() & (a != b))
             .select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
     state = _state(e)

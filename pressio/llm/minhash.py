@@ -7,12 +7,9 @@ the smallest value over the set. Coordinates are banded; documents that
 agree on a band are candidates; every link is confirmed on the full sets.
 
 Documents with equal sets are one class, represented by its smallest id, so
-copies never meet each other. Within a bucket of a band, all members are
-first compared with one hub. Members that are by then connected to it need
-no more; each of the others (outsiders) is compared with every member of
-other components, a growing number of outsiders at a time, until all are
-done. So a large group of near copies costs a link to a hub each, and no
-pair of a bucket that could join two components is left out.
+copies never meet each other. Within a bucket of a band, members meet hubs
+as :mod:`buckets` has it: a large group of near copies costs a link each,
+and no pair of a bucket that could join two components is left out.
 
 The number of bands follows from the threshold: a pair at it is missed with
 probability ``MISS`` at most.
@@ -31,16 +28,15 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import chunks, cut, text_bytes
-from .components import connected_components
+from .buckets import bucket_components, with_component
 
 WIDTH = 5
 ROWS = 5
 MISS = 1e-6
-FIRST_OUTSIDERS = 8
 _U = np.uint64
 # Fixed odd multipliers of the hashes and permutations.
 _BASE = 0x9E3779B97F4A7C15
@@ -244,49 +240,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     F.first("keys").alias("keys")))
     classes = cut(classes)
 
-    def alike(x, y):  # sets can only reach the threshold if their sizes do
-        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
     bands = classes.select("rep", "n", F.explode("keys").alias("key"))
-    hubs = (bands.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h"),
-                                     F.count(F.lit(1)).alias("c")).filter("c > 1")
-            .select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n")))
-    shared = cut(bands.join(hubs, "key"))
-    done = cut(shared.filter((F.col("rep") != F.col("hub")) & alike(F.col("n"), F.col("hub_n")))
-               .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
-    links = _verify(done, docs, key, text, percent, width)
-    comps = cut(connected_components(links, "a", "b"))
-
-    def with_component(df, node, out):
-        c = comps.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-        return (df.join(c, F.col(node) == F.col("_n"), "left")
-                .withColumn(out, F.coalesce("_c", node)).drop("_n", "_c"))
-
-    outside = with_component(with_component(shared, "rep", "comp"), "hub", "hub_comp")
-    outside = outside.filter("comp <> hub_comp").select("key", "rep", "n")
-    nth = Window.partitionBy("key").orderBy("rep")
-    outside = cut(outside.withColumn("nth", F.row_number().over(nth)))
-    last = outside.agg(F.max("nth")).first()[0] or 0
-    lo, step = 0, FIRST_OUTSIDERS
-    while lo < last:
-        some = outside.filter((F.col("nth") > lo) & (F.col("nth") <= lo + step))
-        x = with_component(some, "rep", "comp").select(
-            "key", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"))
-        y = with_component(shared.join(some.select("key").distinct(), "key", "left_semi"), "rep", "comp")
-        todo = (x.join(y, "key").filter((F.col("xc") != F.col("comp")) & (F.col("rep") != F.col("hub"))
-                                        & alike(F.col("xn"), F.col("n")))
-                .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
-                .join(done, ["a", "b"], "left_anti"))
-        todo = cut(todo)
-        if todo.take(1):
-            links = links.unionByName(_verify(todo, docs, key, text, percent, width))
-            done = done.unionByName(todo)
-            comps = cut(connected_components(links, "a", "b"))
-        lo, step = lo + step, step * 8
+    comps = bucket_components(
+        bands, lambda pairs: _verify(pairs, docs, key, text, percent, width), percent)
     reps = classes.select(F.col("f1").alias("_f1"), F.col("f2").alias("_f2"), "rep")
     found = sig.select("doc_id", F.col("n").alias("n_shingles"), "f1", "f2").join(
         reps, (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2"))
         & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
-    found = with_component(found.withColumn("rep", F.coalesce("rep", "doc_id")), "rep", "component_id")
+    found = with_component(found.withColumn("rep", F.coalesce("rep", "doc_id")),
+                           "rep", "component_id", comps)
     return found.select("doc_id", "n_shingles", "component_id",
                         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -67,7 +67,28 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP5 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding,
+    lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), n AS (
+  SELECT x, count(*) AS n FROM links GROUP BY x
+), reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings
+  UNION SELECT reach.vec_id, links.y FROM reach JOIN links ON reach.r = links.x
+)
+SELECT vec_id, coalesce(max(n.n), 0) AS n_links, min(r) AS component_id, vec_id = min(r) AS kept
+FROM reach LEFT JOIN n ON n.x = reach.vec_id GROUP BY vec_id
+"""
+
 ORACLES = {
+    "op5_embedding_dedup": OP5,
     "op10_knn_join": OP10,
     "op1_minhash": OP1,
     "op2_warc_revisit": OP2,

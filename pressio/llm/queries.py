@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, knn_join, langid, minhash, mixing, quality, suffix_dedup, warc
+from . import bpe, embedding_dedup, knn_join, langid, line_dedup, minhash, mixing, quality, suffix_dedup, warc
 from ._common import shared_folder, table, word_count
 
 
@@ -79,3 +79,13 @@ def op10_knn_join(spark: SparkSession, sf: str) -> DataFrame:
     """The five best of all vectors for each whose id is divisible by 50."""
     vectors = knn_join.quantised(table(spark, sf, "embeddings"), "vec_id", "embedding")
     return knn_join.top_k(vectors.filter("id % 50 = 0"), vectors, 5)
+
+
+def op5_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate embeddings of a label at a cosine of 0.93."""
+    return embedding_dedup.near_duplicates(table(spark, sf, "embeddings"))
+
+
+def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of every document, its group, and whether it stays."""
+    return line_dedup.judged_lines(table(spark, sf, "documents"))

@@ -8,7 +8,9 @@ from .oracles import ORACLES
 QUERIES = {fn.__name__: fn for fn in (
     Q.op1_minhash,
     Q.op2_warc_revisit,
+    Q.op3_line_dedup,
     Q.op4_quality,
+    Q.op5_embedding_dedup,
     Q.op6_bpe_roundtrip,
     Q.op7_language_id,
     Q.op8_mixing,
