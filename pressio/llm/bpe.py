@@ -27,7 +27,6 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -100,9 +99,14 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    return Codec(path)
+    """The codec of a file, one per worker process: tasks unpickle this
+    function anew, so it is kept on a module that they all import."""
+    import tokenizers
+    kept = vars(tokenizers).setdefault("_codecs_by_path", {})
+    if path not in kept:
+        kept[path] = Codec(path)
+    return kept[path]
 
 
 def _kind(c: str) -> str:

@@ -28,7 +28,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import chunks, cut, text_bytes
@@ -251,3 +251,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                            "rep", "component_id", comps)
     return found.select("doc_id", "n_shingles", "component_id",
                         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                       percent: int = 80) -> DataFrame:
+    """One row of ``docs`` for each group of near duplicates: that of the
+    smallest id, and of rows that share it that with the smallest hash of its
+    text. Rows without an id all stay."""
+    kept = near_duplicates(docs, key, text, percent).filter("kept and doc_id is not null")
+    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
+    named = docs.filter(F.col(key).isNotNull()).join(
+        ids, F.col(key).cast("long") == F.col("_kept_id"), "left_semi")
+    nth = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
+    one = named.withColumn("_nth", F.row_number().over(nth)).filter("_nth = 1").drop("_nth")
+    return one.unionByName(docs.filter(F.col(key).isNull()))

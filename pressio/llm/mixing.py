@@ -245,27 +245,22 @@ def mix_texts(docs: DataFrame, block: int = BLOCK, **kw) -> DataFrame:
     columns of ``docs`` are kept; ``n_chars`` is renewed. A document of which
     nothing is taken goes."""
     names = docs.columns
-    sized = docs.select("*", word_count(F.col("text")).alias("size"))
-    small = cut(sized.select("doc_id", "source", "size", F.xxhash64("text").alias("_h")))
-    pos, pieces, slots = mix(small, block, salt=("_h",), **kw)
+    # two hashes of the whole row name it; equal rows are alike in everything
+    # and each of their places gets a row of its own below
+    sized = docs.select("*", word_count(F.col("text")).alias("_size"),
+                        F.xxhash64(*names).alias("_h1"), F.xxhash64(F.lit(1), *names).alias("_h2"))
+    small = cut(sized.select("doc_id", "source", F.col("_size").alias("size"), "_h1", "_h2"))
+    pos, pieces, slots = mix(small, block, salt=("_h1", "_h2"), **kw)
     got = (pieces.join(slots.hint("merge"), ["_rank", "block"])
            .groupBy("_rank", "_start", "epoch")
            .agg(F.sort_array(F.collect_list(F.struct("piece_first", "piece_words"))).alias("_p")))
-    key = ["doc_id", "source", "size", "_h"]
-    nth = Window.partitionBy(*key).orderBy("_start")
-    at = pos.filter("size > 0").withColumn("_nth", F.row_number().over(nth))
-    spans = (at.join(got, ["_rank", "_start"]).select(*[F.col(k).alias(f"_k_{k}") for k in key],
-                                                      "_nth", "epoch", "_p"))
-    rows = sized.withColumn("_h", F.xxhash64("text")).withColumn(
-        "_nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
-    on = F.col("_nth") == F.col("_n2")
-    for k in key:
-        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    spans = spans.withColumnRenamed("_nth", "_n2")
+    spans = (pos.filter("size > 0").select("_rank", "_start", "_h1", "_h2")
+             .join(got, ["_rank", "_start"]).select("_h1", "_h2", "_p"))
     words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
     text = F.array_join(F.flatten(F.transform("_p", lambda p: F.slice(
         F.col("_w"), (p["piece_first"] + 1).cast("int"), p["piece_words"].cast("int")))), " ")
-    out = rows.join(spans, on).withColumn("_w", words).withColumn("text", text)
+    out = (sized.filter("_size > 0").dropDuplicates(["_h1", "_h2"]).join(spans, ["_h1", "_h2"])
+           .withColumn("_w", words).withColumn("text", text))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*names)

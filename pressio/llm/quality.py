@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
-from ._common import chunks, text_bytes
+from ._common import chunks, cut, text_bytes
 
 # Labelled rows fitted on, at most about so many, chosen by a hash of the id.
 SAMPLE = 12_000
@@ -196,8 +196,9 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                       model, f"{PREFIX}t", p).drop(f"{PREFIX}t")
     small = small.join(lab, F.col(f"{PREFIX}k") == F.col(f"{PREFIX}id"), "left")
     e = F.coalesce(F.col(y), F.col(p), F.lit(CLIP))
-    paths = (small.groupBy(f"{PREFIX}h", f"{PREFIX}q")
-             .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(e).alias("s")))
+    # one row per path: kept, so that the texts are scored once for it
+    paths = cut(small.groupBy(f"{PREFIX}h", f"{PREFIX}q")
+                .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(e).alias("s")))
     hosts = paths.groupBy(f"{PREFIX}h").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
     whole = hosts.agg((F.sum("hs") / F.sum("hn")).alias("m"),
                       _strength(hosts, F.col("hs") / F.col("hn"), F.col("hn")).alias("k"))
@@ -225,3 +226,8 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         F.col(f"{PREFIX}r").alias("host_rate"), F.col(f"{PREFIX}b").alias("path_rate"),
         F.col(f"{PREFIX}f").alias("p_quality"),
         (F.col(f"{PREFIX}f") >= threshold).alias("kept"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
+    """``docs`` without those that :func:`judge` rejects, columns as they were."""
+    return judge(docs, labels, **kw).filter("kept").select(*docs.columns)
