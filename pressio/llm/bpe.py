@@ -247,10 +247,12 @@ def _encode_long(texts: DataFrame, path: str, leaf: int, window: int) -> DataFra
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
            leaf: int = LEAF, window: int = WINDOW) -> DataFrame:
-    """``df`` with the ids of each whole ``text`` in a new column ``ids``.
+    """``df`` with the ids of each whole ``text`` in the column ``ids``, new
+    or in place of one of that name.
 
     Long texts are told apart by their SHA-256, so copies are encoded once.
     """
+    df = df.drop(ids)
     long = F.coalesce(F.length(text) > leaf, F.lit(False))
     short = _with_ids(df.filter(~long), text, path, ids)
     key = F.sha2(F.col(text), 256)
@@ -264,7 +266,9 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``df`` with the text that the ids decode to in a new column ``out``."""
+    """``df`` with the text that the ids decode to in the column ``out``, new
+    or in place of one of that name."""
+    df = df.drop(out)
     names = df.columns
 
     def run(batches):

@@ -186,7 +186,9 @@ def fit(train_rows: DataFrame, text: str = "text", lang: str = "lang", key: str
 
 def identify(df: DataFrame, model: Model | None, text: str = "text", lang_out: str = "lang_pred",
              score_out: str = "score", rejected_out: str = "rejected") -> DataFrame:
-    """``df`` with the language, the calibrated score and whether it is rejected."""
+    """``df`` with the language, the calibrated score and whether it is
+    rejected, in place of columns of these names."""
+    df = df.drop(lang_out, score_out, rejected_out)
     names = df.columns
 
     def run(batches):

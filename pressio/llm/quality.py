@@ -182,10 +182,26 @@ def _log_odds(p):
     return F.log(p / (1 - p))
 
 
-def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-          host: str = "source", path: str = "lang", label: str = "quality",
-          threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` with p_doc, host_rate, path_rate, p_quality and kept."""
+def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **kw) -> DataFrame:
+    """``docs`` with p_doc, host_rate, path_rate, p_quality and kept, which
+    replace columns of these names."""
+    made = {"p_doc": F.coalesce(f"{PREFIX}p", F.lit(0.0)), "host_rate": F.col(f"{PREFIX}r"),
+            "path_rate": F.col(f"{PREFIX}b"), "p_quality": F.col(f"{PREFIX}f"),
+            "kept": F.col(f"{PREFIX}f") >= threshold}
+    return _judged(docs, labels, **kw).select(
+        *[c for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
+                   **kw) -> DataFrame:
+    """``docs`` without those that :func:`judge` rejects, columns as they were."""
+    return _judged(docs, labels, **kw).filter(F.col(f"{PREFIX}f") >= threshold).select(*docs.columns)
+
+
+def _judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+            host: str = "source", path: str = "lang", label: str = "quality",
+            sample: int = SAMPLE) -> DataFrame:
+    """``docs`` with what :func:`judge` reports, under prefixed names."""
     model = fit(docs, labels, key, text, label, sample)
     p, y = f"{PREFIX}p", f"{PREFIX}y"
     scored = _evidence(docs, model, text, p)
@@ -219,15 +235,7 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         (F.col(f"{PREFIX}s") - own + kp * F.col(f"{PREFIX}r")) / (F.col(f"{PREFIX}n") - 1 + kp),
         F.lit(CLIP)), F.lit(1 - CLIP))
     odds = _log_odds(F.col(p)) + _log_odds(others) - _log_odds(F.lit(m))
+    if model is None:
+        odds = _log_odds(F.col(p))
     quality = F.coalesce(1 / (1 + F.exp(-odds)), F.lit(0.0))
-    result = (out.withColumn(f"{PREFIX}b", others).withColumn(f"{PREFIX}f", quality))
-    return result.select(
-        *[F.col(c) for c in docs.columns], F.coalesce(p, F.lit(0.0)).alias("p_doc"),
-        F.col(f"{PREFIX}r").alias("host_rate"), F.col(f"{PREFIX}b").alias("path_rate"),
-        F.col(f"{PREFIX}f").alias("p_quality"),
-        (F.col(f"{PREFIX}f") >= threshold).alias("kept"))
-
-
-def good_documents(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
-    """``docs`` without those that :func:`judge` rejects, columns as they were."""
-    return judge(docs, labels, **kw).filter("kept").select(*docs.columns)
+    return out.withColumn(f"{PREFIX}b", others).withColumn(f"{PREFIX}f", quality)

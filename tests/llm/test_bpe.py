@@ -1,0 +1,81 @@
+import random
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from pressio.llm import bpe, queries
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+PARTS = ["a", "b", "the", "ing", "'s", "'", "ll", " ", "  ", "\n", "1", "23", "é", "日本", "!", "..",
+         "<|endoftext|>", "<|", " ", "\xa0", "\x1c", "aaaa", "🙂", "ñ", "²", "\t", "0"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def tree(codec, text, leaf, window):
+    level = [(text[i:i + leaf], codec.encode_one(text[i:i + leaf])) for i in range(0, len(text), leaf)]
+    while len(level) > 1:
+        level = [(level[i][0] + level[i + 1][0], bpe.join(codec, *level[i], *level[i + 1], window))
+                 if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
+    return list(level[0][1]) if level else []
+
+
+def test_encoding_and_joins_are_the_librarys(library):
+    codec, rnd = bpe.codec(PATH), random.Random(9)
+    for _ in range(1500):
+        parts = rnd.sample(PARTS, rnd.choice([1, 2, 4, len(PARTS)]))
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 80)))
+        want = library.encode(text, add_special_tokens=False).ids
+        assert list(codec.encode_one(text)) == want
+        assert tree(codec, text, rnd.choice([3, 7, 20]), rnd.choice([1, 4, 16])) == want
+        assert codec.decode(want) == library.decode(want, skip_special_tokens=False) == text
+
+
+def test_text_without_any_split(library):
+    codec, rnd = bpe.codec(PATH), random.Random(1)
+    for text in ("".join(rnd.choice("abcdefgh") for _ in range(9000)), "ab" * 4000, "=-" * 3000,
+                 " " * 5000 + "x", "é" * 4000, "1" * 3333):
+        assert tree(codec, text, 500, 16) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_invalid_bytes_decode_as_the_librarys(library):
+    codec, rnd = bpe.codec(PATH), random.Random(2)
+    for _ in range(500):
+        ids = [rnd.randrange(300) for _ in range(rnd.randint(0, 12))]
+        assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_tables(docs, words, library):
+    rows = [(0, None), (1, ""), (2, "One <|endoftext|> two"), (3, " ".join(words(3000))),
+            (4, " ".join(words(3000))), (3, "again"), (None, "x" * 2500), (5, "日本語" * 700)]
+    rows.append((6, rows[3][1]))
+    df = docs(rows, decoded=1)
+    got = bpe.decode(bpe.encode(df, PATH, leaf=700, window=8), PATH).collect()
+    assert len(got) == len(rows)
+    want = sorted((str(i), t or "", library.encode(t or "", add_special_tokens=False).ids) for i, t in rows)
+    assert sorted((str(r.doc_id), r.text or "", r.ids) for r in got) == want
+    assert all(r.decoded == (r.text or "") for r in got)
+    assert bpe.decode(bpe.encode(docs([]), PATH), PATH).collect() == []
+
+
+def test_query(spark, tables, library):
+    import hashlib
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{tables}/documents.parquet").collect()}
+    got = queries.op6_bpe_roundtrip(spark, tables).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+
+
+def test_lengths_are_of_bytes():
+    codec = bpe.codec(PATH)
+    assert codec.lengths[codec.encode_one("日本 é\n")].sum() == len("日本 é\n".encode())
+    assert isinstance(codec.lengths, np.ndarray)
