@@ -53,7 +53,10 @@ _BITS = 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _KEYS = ["doc_id", "tag"]
-_PARSE = "trigger long, digest long, doc_id long, tag int, start int, n int"
+_PARSE = "trigger long, digest long, doc_id long, packed long"
+# A phrase's tag, start, whether merged, and windows, in one long that sorts
+# by tag and start: the parse is what is shuffled most.
+_TAG_BITS, _START_BITS, _N_BITS = 20, 31, 11
 _RUNS = "doc_id long, tag int, start int, n int, open boolean"
 
 
@@ -104,7 +107,7 @@ def _columns(*cols) -> list[pa.Array]:
 
 def _merge_equal(trigger, digest, doc, tag, start, n):
     """Order by (trigger, digest, place); all but the first of equals are
-    marked by a negative n and dealt out by their document instead."""
+    marked as merged and dealt out by their place instead."""
     o = np.lexsort((start, tag, doc, digest, trigger))
     trigger, digest, doc, tag, start, n = (c[o] for c in (trigger, digest, doc, tag, start, n))
     same = np.zeros(len(o), bool)
@@ -112,8 +115,15 @@ def _merge_equal(trigger, digest, doc, tag, start, n):
         same[1:] = (trigger[1:] == trigger[:-1]) & (digest[1:] == digest[:-1])
     with np.errstate(over="ignore"):
         spread = (doc.view(np.uint64) * _U(_BASE) + start.astype(np.uint64)).view(np.int64)
-    return (np.where(same, spread, trigger), digest, doc, tag.astype(np.int32),
-            start.astype(np.int32), np.where(same, -n, n).astype(np.int32))
+    packed = (((tag.astype(np.int64) << _START_BITS | start) << 1 | same) << _N_BITS) | n
+    return np.where(same, spread, trigger), digest, doc, packed
+
+
+def _unpacked(packed: np.ndarray):
+    """(tag, start, merged, n)."""
+    rest = packed >> _N_BITS
+    return (rest >> (_START_BITS + 1), rest >> 1 & ((1 << _START_BITS) - 1), (rest & 1).astype(bool),
+            packed & ((1 << _N_BITS) - 1))
 
 
 def _parse_table(texts: DataFrame, length: int) -> DataFrame:
@@ -155,10 +165,10 @@ def _dictionary(parsed: DataFrame) -> DataFrame:
         t0 = d0 = alone = None
         seen = 0
         for batch in batches:
-            t, d, *place = (np.asarray(c) for c in batch.columns)
-            merged = place[3] < 0
-            rows = [(*(c[merged] for c in place[:3]), -place[3][merged],
-                     np.zeros(int(merged.sum()), bool))]
+            t, d, doc, packed = (np.asarray(c) for c in batch.columns)
+            tag, start, merged, n = _unpacked(packed)
+            place = [doc, tag, start, n]
+            rows = [(*(c[merged] for c in place), np.zeros(int(merged.sum()), bool))]
             t, d, place = t[~merged], d[~merged], [c[~merged] for c in place]
             if len(t):
                 new_t = np.concatenate([[t0 is None or t[0] != t0], t[1:] != t[:-1]])
@@ -187,7 +197,7 @@ def _dictionary(parsed: DataFrame) -> DataFrame:
                     n.astype(np.int32), is_open.astype(bool)), names=names)
 
     dealt = parsed.repartition("trigger").sortWithinPartitions(
-        "trigger", "digest", *_KEYS, "start")
+        "trigger", "digest", "doc_id", "packed")
     return dealt.mapInArrow(run, _RUNS)
 
 
@@ -245,7 +255,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """(doc_id, text, spans): each row of ``docs`` with the maximal runs of
     bytes to remove, as [first, end) offsets into its UTF-8 text."""
     every = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    tag = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    if not GRAM <= length < 1 << _N_BITS:
+        raise ValueError(f"length must be from {GRAM} to {(1 << _N_BITS) - 1}")
+    tag = F.xxhash64("text").bitwiseAND(F.lit((1 << _TAG_BITS) - 1)).cast("int")
     texts = every.filter("doc_id is not null").withColumn("tag", tag)
     runs = _dictionary(_parse_table(texts, length))
     per_doc = runs.groupBy(*_KEYS).agg(F.collect_list(F.struct("start", "n", "open")).alias("runs"))
