@@ -127,9 +127,9 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 5, pivots: int = PIVOTS)
     parts = data.select("v").mapInArrow(summaries, "g int, x array<double>, cell boolean")
     top = F.slice(F.reverse(F.sort_array(F.flatten(F.collect_list("x")))), 1, k + 1)
     merged = parts.groupBy("cell", "g", F.pmod(F.spark_partition_id(), F.lit(64)).alias("part")).agg(
-        F.when(F.first("cell"), F.array(F.max(F.col("x")[0]), F.max(F.col("x")[1]))).otherwise(top).alias("x"))
+        F.when(F.first("cell"), F.array(F.max(F.get("x", F.lit(0))), F.max(F.get("x", F.lit(1))))).otherwise(top).alias("x"))
     merged = merged.groupBy("cell", "g").agg(
-        F.when(F.first("cell"), F.array(F.max(F.col("x")[0]), F.max(F.col("x")[1]))).otherwise(top).alias("x"))
+        F.when(F.first("cell"), F.array(F.max(F.get("x", F.lit(0))), F.max(F.get("x", F.lit(1))))).otherwise(top).alias("x"))
     for row in merged.collect():
         if row["cell"]:
             cell_r[row["g"]], cell_n[row["g"]] = row["x"]

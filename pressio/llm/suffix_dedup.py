@@ -110,9 +110,12 @@ def _merge_equal(trigger, digest, doc, tag, start, n):
     marked as merged and dealt out by their place instead."""
     o = np.lexsort((start, tag, doc, digest, trigger))
     trigger, digest, doc, tag, start, n = (c[o] for c in (trigger, digest, doc, tag, start, n))
-    same = np.zeros(len(o), bool)
+    same, again = np.zeros(len(o), bool), np.zeros(len(o), bool)
     if len(o):
         same[1:] = (trigger[1:] == trigger[:-1]) & (digest[1:] == digest[:-1])
+        again[1:] = same[1:] & (doc[1:] == doc[:-1]) & (tag[1:] == tag[:-1]) & (start[1:] == start[:-1])
+        trigger, digest, doc, tag, start, n, same = (
+            c[~again] for c in (trigger, digest, doc, tag, start, n, same))
     with np.errstate(over="ignore"):
         spread = (doc.view(np.uint64) * _U(_BASE) + start.astype(np.uint64)).view(np.int64)
     packed = (((tag.astype(np.int64) << _START_BITS | start) << 1 | same) << _N_BITS) | n
@@ -162,14 +165,20 @@ def _dictionary(parsed: DataFrame) -> DataFrame:
     def run(batches):
         # of the trigger read last: trigger, digest, dictionary phrases so far,
         # and the first of them while it is the only one
-        t0 = d0 = alone = None
+        t0 = d0 = alone = last = None
         seen = 0
         for batch in batches:
             t, d, doc, packed = (np.asarray(c) for c in batch.columns)
             tag, start, merged, n = _unpacked(packed)
             place = [doc, tag, start, n]
             rows = [(*(c[merged] for c in place), np.zeros(int(merged.sum()), bool))]
-            t, d, place = t[~merged], d[~merged], [c[~merged] for c in place]
+            t, d, packed, place = t[~merged], d[~merged], packed[~merged], [c[~merged] for c in place]
+            if len(t):  # the same place again, from a row that repeats
+                mark = np.stack([t, d, place[0], packed])
+                again = np.concatenate([[last is not None and (mark[:, 0] == last).all()],
+                                        (mark[:, 1:] == mark[:, :-1]).all(axis=0)])
+                last = mark[:, -1]
+                t, d, place = t[~again], d[~again], [c[~again] for c in place]
             if len(t):
                 new_t = np.concatenate([[t0 is None or t[0] != t0], t[1:] != t[:-1]])
                 new_d = np.concatenate([[d0 is None or d[0] != d0], d[1:] != d[:-1]]) | new_t
@@ -226,10 +235,14 @@ def _suffix_repeats(phrases: DataFrame, length: int) -> DataFrame:
             w1, w2 = np.asarray(batch.column("w1")), np.asarray(batch.column("w2"))
             if not len(w1):
                 continue
-            same = np.zeros(len(w1), bool)
-            same[0] = before == (w1[0], w2[0])
-            same[1:] = (w1[1:] == w1[:-1]) & (w2[1:] == w2[:-1])
-            before = (w1[-1], w2[-1])
+            mark = np.stack([w1, w2, *(np.asarray(batch.column(c), dtype=np.int64)
+                                       for c in ("doc_id", "tag", "start"))])
+            equal = np.empty(mark.shape, bool)
+            equal[:, 0] = before is not None and mark[:, 0] == before
+            equal[:, 1:] = mark[:, 1:] == mark[:, :-1]
+            before = mark[:, -1]
+            # equal suffixes, but not the same place from a row that repeats
+            same = equal[:2].all(axis=0) & ~equal.all(axis=0)
             kept = batch.select(["doc_id", "tag", "start"]).filter(pa.array(same))
             if kept.num_rows:
                 yield kept
