@@ -2,9 +2,11 @@
 
 All members of a bucket are first compared with one hub. Members that are by
 then connected to it need no more; each of the others (outsiders) is compared
-with every member of other components, a growing number of outsiders at a
+with the members of other components, a growing number of outsiders at a
 time, until all are done. A large group of alike members costs a link to a
-hub each, and no pair that could join two components is left out.
+hub each, and no pair of a bucket that could join two components is left out:
+a pair is only skipped where its distances to the hub differ by more than
+the largest distance of a link, which no link can (the distance is a metric).
 """
 
 from __future__ import annotations
@@ -19,15 +21,20 @@ from .components import connected_components
 
 FIRST_OUTSIDERS = 8
 GROWTH = 8
+SLACK = 1e-9
 
+Verify = Callable[[DataFrame], DataFrame]
 
-def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
+
+def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify],
                       percent: int) -> DataFrame:
     """(node, component) of every node with a link, over members (key, rep, n).
 
     ``n`` is a size of the node; pairs whose smaller size is under
-    ``percent`` per cent of the larger cannot be linked. ``verify`` takes
-    pairs (a, b) and returns, materialised, those that are.
+    ``percent`` per cent of the larger cannot be linked. ``prepare`` gets the
+    nodes (rep) that share a bucket and returns a function from pairs (a, b)
+    to (a, b, far, linked), materialised: whether they are linked, and their
+    distance, by which no link exceeds 1 - percent / 100, or NULL.
     """
     def alike(x, y):
         return 100 * F.least(x, y) >= percent * F.greatest(x, y)
@@ -36,31 +43,41 @@ def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
                                        F.count(F.lit(1)).alias("c")).filter("c > 1")
             .select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n")))
     shared = cut(members.join(hubs, "key"))
-    done = cut(shared.filter((F.col("rep") != F.col("hub")) & alike(F.col("n"), F.col("hub_n")))
-               .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
-    links = verify(done)
-    comps = cut(connected_components(links, "a", "b"))
+    verify = prepare(shared.select("rep").distinct())
+    pairs = (shared.filter((F.col("rep") != F.col("hub")) & alike(F.col("n"), F.col("hub_n")))
+             .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+    done = verify(cut(pairs))
+    comps = cut(connected_components(done.filter("linked"), "a", "b"))
     outside = with_component(with_component(shared, "rep", "comp", comps), "hub", "hub_comp", comps)
-    outside = outside.filter("comp <> hub_comp").select("key", "rep", "n")
+    outside = outside.filter("comp <> hub_comp").select("key", "rep")
     nth = Window.partitionBy("key").orderBy("rep")
     outside = cut(outside.withColumn("nth", F.row_number().over(nth)))
     last = outside.agg(F.max("nth")).first()[0] or 0
+    if not last:
+        return comps
+    # the buckets that have outsiders, with each member's distance to the hub
+    to_hub = done.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "far")
+    open_ = cut(shared.join(outside.select("key").distinct(), "key", "left_semi")
+                .join(to_hub, ["hub", "rep"], "left"))
+    reach = 1 - percent / 100 + SLACK
     lo, step = 0, FIRST_OUTSIDERS
     while lo < last:
-        some = outside.filter((F.col("nth") > lo) & (F.col("nth") <= lo + step))
-        x = with_component(some, "rep", "comp", comps).select(
-            "key", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"))
-        y = with_component(shared.join(some.select("key").distinct(), "key", "left_semi"),
-                           "rep", "comp", comps)
-        todo = (x.join(y, "key").filter((F.col("xc") != F.col("comp")) & (F.col("rep") != F.col("hub"))
-                                        & alike(F.col("xn"), F.col("n")))
+        some = outside.filter((F.col("nth") > lo) & (F.col("nth") <= lo + step)).select("key", "rep")
+        now = with_component(open_, "rep", "comp", comps)
+        x = now.join(some, ["key", "rep"], "left_semi").select(
+            "key", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"),
+            F.col("far").alias("x_far"))
+        near = F.coalesce(F.abs(F.col("x_far") - F.col("far")) <= reach, F.lit(True))
+        todo = (x.join(now, "key").filter((F.col("xc") != F.col("comp")) & (F.col("rep") != F.col("hub"))
+                                          & alike(F.col("xn"), F.col("n")) & near)
                 .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
                 .join(done, ["a", "b"], "left_anti"))
         todo = cut(todo)
         if todo.take(1):
-            links = links.unionByName(verify(todo))
-            done = done.unionByName(todo)
-            comps = cut(connected_components(links, "a", "b"))
+            found = verify(todo)
+            done = done.unionByName(found)
+            if found.filter("linked").take(1):
+                comps = cut(connected_components(done.filter("linked"), "a", "b"))
         lo, step = lo + step, step * GROWTH
     return comps
 

@@ -196,11 +196,9 @@ def signature_table(docs: DataFrame, bands: int, key: str = "doc_id", text: str
         run, "doc_id long, n long, f1 long, f2 long, keys array<long>")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int,
-            width: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-
+def _prepare(docs: DataFrame, key: str, text: str, percent: int, width: int):
+    """The full sets of the documents that share a bucket, made once, and the
+    comparison of pairs of them by Jaccard distance."""
     def to_sets(batches):
         for batch in batches:
             for lo, hi in chunks(batch, text, 1_000_000):
@@ -212,22 +210,37 @@ def _verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int
 
     def confirm(batches):
         for batch in batches:
-            x, y = batch.column("sa"), batch.column("sb")
-            ok = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                p = np.frombuffer(x[i].as_buffer(), np.uint64)
-                q = np.frombuffer(y[i].as_buffer(), np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                ok[i] = both > 0 and 100 * both >= percent * (len(p) + len(q) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
-
-    texts = docs.select(F.col(key).cast("long").alias(key), text)
-    sets = cut(texts.join(ids, F.col(key) == F.col("_id"), "left_semi")
-               .mapInArrow(to_sets, "id long, s binary"))
-    left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return cut(both.mapInArrow(confirm, "a long, b long").distinct())
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                x, y = part.column("sa"), part.column("sb")
+                far, ok = np.ones(part.num_rows), np.zeros(part.num_rows, bool)
+                for i in range(part.num_rows):
+                    p = np.frombuffer(x[i].as_buffer(), np.uint64)
+                    q = np.frombuffer(y[i].as_buffer(), np.uint64)
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                    either = len(p) + len(q) - both
+                    ok[i] = both > 0 and 100 * both >= percent * either
+                    far[i] = 1 - both / max(either, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("a"), part.column("b"), pa.array(far), pa.array(ok)],
+                    names=["a", "b", "far", "linked"])
+
+    def prepare(reps):
+        texts = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text))
+        ids = reps.select(F.col("rep").alias("_id"))
+        sets = cut(texts.join(ids, F.col(key) == F.col("_id"), "left_semi")
+                   .mapInArrow(to_sets, "id long, s binary"))
+
+        def verify(pairs):
+            left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
+            right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
+            both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
+            # of an id with several texts any may be linked; it has no one distance
+            return cut(both.mapInArrow(confirm, "a long, b long, far double, linked boolean")
+                       .groupBy("a", "b").agg(F.when(F.count(F.lit(1)) == 1, F.min("far")).alias("far"),
+                                              F.max("linked").alias("linked")))
+        return verify
+    return prepare
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -241,8 +254,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes = cut(classes)
 
     bands = classes.select("rep", "n", F.explode("keys").alias("key"))
-    comps = bucket_components(
-        bands, lambda pairs: _verify(pairs, docs, key, text, percent, width), percent)
+    comps = bucket_components(bands, _prepare(docs, key, text, percent, width), percent)
     reps = classes.select(F.col("f1").alias("_f1"), F.col("f2").alias("_f2"), "rep")
     found = sig.select("doc_id", F.col("n").alias("n_shingles"), "f1", "f2").join(
         reps, (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2"))

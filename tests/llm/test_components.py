@@ -25,8 +25,25 @@ def test_buckets_lose_no_link(spark):
     group = {i: i % 7 for i in range(1, 60)}
 
     def verify(pairs):
-        rows = [(r.a, r.b) for r in pairs.collect() if r.a and r.b and group[r.a] == group[r.b]]
-        return spark.createDataFrame(rows, "a long, b long")
+        rows = [(r.a, r.b, None, bool(r.a and r.b and group[r.a] == group[r.b])) for r in pairs.collect()]
+        return spark.createDataFrame(rows, "a long, b long, far double, linked boolean")
 
-    got = {r.node: r.component for r in bucket_components(members, verify, 80).collect()}
+    got = {r.node: r.component for r in bucket_components(members, lambda _: verify, 80).collect()}
     assert got == {i: g or 7 for i, g in group.items()}
+
+
+def test_distances_to_the_hub_spare_comparisons(spark):
+    """Points on a line: far ones are never compared, chains are found."""
+    at = {i: 0.07 * (i % 40) + 0.001 * (i // 40) for i in range(120)}
+    members = spark.createDataFrame([(1, i, 10) for i in at], "key long, rep long, n long")
+    seen = []
+
+    def verify(pairs):
+        rows = [(r.a, r.b, abs(at[r.a] - at[r.b]), abs(at[r.a] - at[r.b]) <= 0.15) for r in pairs.collect()]
+        seen.extend(rows)
+        return spark.createDataFrame(rows, "a long, b long, far double, linked boolean")
+
+    got = {r.node: r.component for r in bucket_components(members, lambda _: verify, 85).collect()}
+    assert got == {i: 0 for i in at}
+    assert all(abs(at[a] - at[b]) <= 0.15 + 1e-6 for a, b, *_ in seen if 0 not in (a, b))
+    assert len(seen) == len({s[:2] for s in seen})
