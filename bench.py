@@ -4,7 +4,7 @@ Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8). Each query runs to completion through a no-op sink, so the
 whole plan executes and nothing is collected to the driver. ``publish_all``
 is the production job (``plans.run.run_all``): the full result written
-once, partitioned by day, then the six published files and the population
+once, partitioned by month, then the six published files and the population
 file, into a fresh scratch folder.
 """
 
@@ -36,7 +36,7 @@ def run(df) -> None:
 
 
 def publish_all(spark, sf):
-    """The batch job: P1 written once (partitioned by day), then the six
+    """The batch job: P1 written once (partitioned by month), then the six
     published files and the population file, into a fresh scratch folder."""
     out = tempfile.mkdtemp(prefix="pressio-bench-")
     run_all(spark, A.incidence_raw(spark, sf), A.vaccination_raw(spark, sf),

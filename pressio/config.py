@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 # --- Fixed values that must equal the published pipeline's -----------------
@@ -102,17 +102,10 @@ class PipelineConfig:
     as_of: dt.date = REFERENCE_AS_OF
     table_labels: tuple = REFERENCE_TABLE_LABELS
     scatter_labels: tuple = REFERENCE_SCATTER_LABELS
-    # weekly mean: "two_pass" (R's mean of the binary doubles, summed in a
-    # fixed order, so deterministic) or "decimal" (exact decimal mean); see
-    # mean_by
-    mean_method: str = "two_pass"
-    # pivots above this many names are refused (publish long form instead)
-    pivot_max_values: int = 10000
-    # a join side is broadcast only when it has at most this many rows
-    broadcast_max_rows: int = 1_000_000
+    # weekly mean: "exact" (of the binary doubles, rounded once) or "avg"; see mean_by
+    mean_method: str = "exact"
     # division by zero: "null" (default) or "inf" (IEEE parity with R)
     on_zero: str = "null"
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **changes) -> "PipelineConfig":
         return dataclasses.replace(self, **changes)

@@ -13,7 +13,8 @@ def ratio(a, b, on_zero: str = "null") -> Column:
 
     Under ANSI mode Spark raises on a zero divisor. ``on_zero="null"`` (the
     default) yields NULL there; ``on_zero="inf"`` yields what R yields
-    (``±Inf`` for a non-zero numerator, ``NaN`` for ``0/0``).
+    (``±Inf`` for a non-zero numerator by both signs, ``NaN`` for ``0/0`` and
+    ``NaN/0``).
     """
     a, b = as_col(a), as_col(b)
     q = F.try_divide(a.cast("double"), b.cast("double"))
@@ -21,9 +22,11 @@ def ratio(a, b, on_zero: str = "null") -> Column:
         return q
     if on_zero != "inf":
         raise ValueError(f"on_zero must be 'null' or 'inf', not {on_zero!r}")
-    inf = F.lit(float("inf"))
-    return (F.when(b.isNull() | a.isNull(), F.lit(None).cast("double"))
-            .when(b != 0, q)
-            .when(a > 0, inf)
-            .when(a < 0, -inf)
-            .otherwise(F.lit(float("nan"))))
+    x, y = a.cast("double"), b.cast("double")
+    # the sign of a zero divisor decides the sign of the infinity
+    inf = F.when(y.cast("string") == "-0.0", F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return (F.when(x.isNull() | y.isNull(), F.lit(None).cast("double"))
+            .when(y != 0, q)
+            .when(F.isnan(x) | (x == 0), F.lit(float("nan")))
+            .when(x > 0, inf)
+            .otherwise(-inf))

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from ._util import as_col
 
-# Accepted spellings of a year-month-day date.
-DAY_FORMATS = ("yyyy-MM-dd", "yyyyMMdd", "yyyy/MM/dd")
+# A year-month-day text: four digits, month, day; either eight digits in a row
+# or any separators that are not digits; what follows the day is ignored.
+_COMPACT = r"^\s*(\d{4})(\d{2})(\d{2})(?!\d)"
+_SEPARATED = r"^\s*(\d{4})[^0-9]+(\d{1,2})[^0-9]+(\d{1,2})(?!\d)"
 
 
 def date_token(c) -> Column:
@@ -20,11 +22,23 @@ def date_token(c) -> Column:
     return F.regexp_extract(as_col(c).cast("string"), r"^([^T\s]+)", 1)
 
 
-def parse_day(c, formats=DAY_FORMATS) -> Column:
-    """Year-month-day text (or a date-time) to DATE (D1); unparseable or
-    impossible dates (``2021-02-30``) become NULL instead of failing."""
-    tok = date_token(c)
-    return F.coalesce(*[F.try_to_date(tok, f) for f in formats])
+def parse_day(c) -> Column:
+    """Year-month-day text (or a date-time) to DATE (D1): ``2009-01-04``,
+    ``2009-1-4``, ``2009.01.04``, ``2009/01/04``, ``2009 01 03``,
+    ``20090104``. Unreadable or impossible dates (``2021-02-30``) become NULL
+    instead of failing; :func:`rejected_day` tells them from missing ones."""
+    text = as_col(c).cast("string")
+
+    def read(pattern):
+        parts = [F.regexp_extract(text, pattern, i) for i in (1, 2, 3)]
+        return F.try_to_date(F.concat_ws("-", *parts), "yyyy-M-d")
+    return F.coalesce(read(_COMPACT), read(_SEPARATED))
+
+
+def rejected_day(c) -> Column:
+    """Whether a text is given but no day can be read from it."""
+    text = as_col(c).cast("string")
+    return text.isNotNull() & (F.trim(text) != "") & parse_day(c).isNull()
 
 
 def week_number(c) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,25 +52,39 @@ def _round_r_sql(x: str, digits: int) -> str:
             f"THEN ({lo_i} + ({hi_i} - {lo_i}) * {pick}) / {p} ELSE {x} END")
 
 
-def number_text(c) -> Column:
+def _large_text(d: Column) -> Column:
+    """All digits of an integral double below 2**118. Divided by a power of two
+    that its last bit reaches it is exact as a long; the product is too."""
+    out = F.lit(None).cast("string")
+    for k in (55, 44, 33, 22, 11, 0):
+        small = F.when(F.abs(d) < float(2 ** (63 + k)), d / float(2 ** k)).otherwise(0.0)
+        exact = (small.cast("long").cast("decimal(20,0)")
+                 * F.lit(Decimal(2 ** k)).cast("decimal(18,0)")).cast("string")
+        out = F.when(F.abs(d) < float(2 ** (63 + k)), exact).otherwise(out)
+    return out
+
+
+def number_text(c, integral: bool = False) -> Column:
     """Format a number as published text.
 
-    Integral values print without a fractional part and without exponent
-    (``10``, ``17116550``); other values print their shortest round-trip
-    digits (``86.50999999999999``), in plain notation where Java would use
-    an exponent. Magnitudes of 1e15 and more are integral doubles and print
-    all their digits; below 1e-15 the exponent form is kept. NULL stays NULL
-    (the sink writes ``NA``).
+    Integral values print all their digits, without a fractional part and
+    without exponent (``10``, ``17116550``); other values print their shortest
+    round-trip digits (``86.50999999999999``), in plain notation where Java
+    would use an exponent. Below 1e-15, and from 2**118 on, the exponent form
+    is kept. NULL stays NULL (the sink writes ``NA``). ``integral`` says that
+    the column is of an integer type and needs no double.
     """
     x = as_col(c)
+    if integral:
+        return x.cast("string")
     d = x.cast("double")
     a = F.abs(d)
     plain = F.regexp_replace(
-        F.regexp_replace(d.cast("decimal(38,15)").cast("string"), r"0+$", ""),
+        F.regexp_replace(F.when(a < F.lit(1e15), d).cast("decimal(38,15)").cast("string"), r"0+$", ""),
         r"\.$", "")
     short = d.cast("string")
-    return (F.when(F.isnan(d) | (a == F.lit(float("inf"))), short)
-            .when(a >= F.lit(1e15), F.format_string("%.0f", d))
+    return (F.when(F.isnan(d) | (a >= F.lit(float(2 ** 118))), short)
+            .when(a >= F.lit(1e15), _large_text(d))
             .when(d == F.floor(d), F.floor(d).cast("string"))
             .when((a < F.lit(1e-15)) | ~short.contains("E"), short)
             .otherwise(plain))

@@ -79,23 +79,19 @@ def map_numeric(df: DataFrame, fn: Callable[[str], Column],
 def recode(df: DataFrame, column: str, mapping) -> DataFrame:
     """Replace values by a mapping, others unchanged, NULL stays NULL.
 
-    The mapping is a driver-side literal; it becomes one CASE expression (or
-    a map lookup when long), so no join and no shuffle are needed.
+    A key that repeats takes its first value, as in a chain of conditions.
+    The mapping is a driver-side literal, one map lookup however long, so no
+    join and no shuffle are needed.
     """
-    pairs = list(mapping.items() if isinstance(mapping, Mapping) else mapping)
-    if not pairs:
+    first: dict = {}
+    for old, new in (mapping.items() if isinstance(mapping, Mapping) else mapping):
+        first.setdefault(old, new)
+    if not first:
         return df
     c = as_col(column)
-    if len(pairs) <= 64:
-        expr = None
-        for old, new in pairs:
-            expr = (F.when(c == F.lit(old), F.lit(new)) if expr is None
-                    else expr.when(c == F.lit(old), F.lit(new)))
-        expr = expr.otherwise(c)
-    else:
-        lookup = F.create_map(*[F.lit(v) for kv in pairs for v in kv])
-        expr = F.coalesce(F.try_element_at(lookup, c), c)
-    return df.withColumn(column, expr)
+    lookup = F.create_map(*[F.lit(v) for kv in first.items() for v in kv])
+    known = F.map_contains_key(lookup, c)
+    return df.withColumn(column, F.when(known, F.try_element_at(lookup, c)).otherwise(c))
 
 
 def as_of(df: DataFrame, date_col: str, day: dt.date, k: int = 0) -> DataFrame:

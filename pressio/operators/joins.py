@@ -10,24 +10,12 @@ from pyspark.sql import functions as F
 from ..functions import as_col
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only when it provably has ``<= max_rows`` rows.
-
-    The check is ``limit(max_rows + 1).count()``; past the bound the side is
-    returned unmarked and Spark plans a shuffle join (AQE may still switch
-    to a broadcast from measured shuffle sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
 def natural_join(left: DataFrame, right: DataFrame, how: str = "left",
-                 on: Sequence[str] | None = None) -> DataFrame:
+                 on: Sequence[str] | None = None, never_null: Sequence[str] = ()) -> DataFrame:
     """Join on all common column names, NULL matching NULL.
 
-    ``how`` is ``"left"`` or ``"right"``; the key columns come from the
+    Keys in ``never_null`` are compared with a plain ``=``, so that the join
+    can reuse a partitioning by them. ``how`` is ``"left"`` or ``"right"``; the key columns come from the
     preserved side. Output order: the left side's columns, then the right
     side's non-key columns.
     A right join is planned as the mirrored left join, which lets Spark
@@ -42,7 +30,8 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "left",
     r = right.select(*[as_col(c).alias(rmap[c]) for c in right.columns])
     cond = None
     for k in keys:
-        term = as_col(k).eqNullSafe(F.col(rmap[k]))
+        term = (as_col(k) == F.col(rmap[k]) if k in never_null
+                else as_col(k).eqNullSafe(F.col(rmap[k])))
         cond = term if cond is None else cond & term
     if how == "right":
         joined = r.join(left, cond, "left")
@@ -62,12 +51,19 @@ def compare_periods(df: DataFrame, entity: str, date: str, value: str,
                     day_t, day_t1, out_t: str, out_t1: str) -> DataFrame:
     """Value at day ``t`` next to the value at day ``t1`` per entity.
 
-    Keeps every entity present at ``t1`` (right join on the entity, NULL
-    matching NULL); ``t``'s date and value are NULL where ``t`` lacks the
-    entity. Columns: date, entity, out_t, out_t1.
+    Keeps every entity present at ``t1`` (NULL is an entity); ``t``'s date
+    and value are NULL where ``t`` lacks the entity. Columns: date, entity,
+    out_t, out_t1. One scan of the two days, one aggregation by entity. An
+    entity that repeats within a day fails the job.
     """
-    t = df.filter(as_col(date) == F.lit(day_t)).select(
-        as_col(date), as_col(entity), as_col(value).alias(out_t))
-    t1 = df.filter(as_col(date) == F.lit(day_t1)).select(
-        as_col(entity), as_col(value).alias(out_t1))
-    return natural_join(t, t1, "right", on=[entity])
+    d, v = as_col(date), as_col(value)
+    at_t, at_t1 = d == F.lit(day_t), d == F.lit(day_t1)
+    twice = F.raise_error(F.lit(f"duplicate ({date}, {entity}) key in the period comparison"))
+    several = (F.count(F.when(at_t, 1)) > 1) | (F.count(F.when(at_t1, 1)) > 1)
+    g = (df.filter(at_t | at_t1).groupBy(as_col(entity)).agg(
+        F.max(F.when(at_t, d)).alias("_d"), F.max(F.when(at_t, v)).alias("_t"),
+        F.max(F.when(at_t1, v)).alias("_t1"), F.count(F.when(at_t1, 1)).alias("_n"),
+        several.alias("_twice")))
+    return g.filter("_n > 0").select(
+        F.col("_d").alias(date), as_col(entity), F.col("_t").alias(out_t),
+        F.when(F.col("_twice"), twice).otherwise(F.col("_t1")).alias(out_t1))

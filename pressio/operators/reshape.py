@@ -13,47 +13,41 @@ NULL_NAME = "NA"
 
 
 def pivot_names(df: DataFrame, names_from: str, sort_names: bool = True,
-                order_by: Sequence[str] | None = None,
-                max_values: int = 10000) -> list[str]:
+                order_by: Sequence[str] | None = None) -> list[str]:
     """The distinct names that become columns, in column order.
 
     Sorted (binary order) when ``sort_names``; else in order of first
     appearance along ``order_by`` (the smallest ``(order_by..., name)`` per
-    name). Only the distinct names reach the driver, and only up to
-    ``max_values`` of them; past that the pivot is refused.
+    name). Only the distinct names reach the driver: they are its schema.
     """
     name = F.coalesce(as_col(names_from).cast("string"), F.lit(NULL_NAME))
     if sort_names or not order_by:
-        rows = (df.select(name.alias("n")).distinct()
-                .limit(max_values + 1).collect())
-        names = sorted(r["n"] for r in rows)
-    else:
-        first = F.min(F.struct(*[as_col(c) for c in order_by], name.alias("n")))
-        rows = (df.groupBy(name.alias("n")).agg(first.alias("f"))
-                .limit(max_values + 1).collect())
-        names = [r["n"] for r in sorted(rows, key=lambda r: tuple(r["f"]))]
-    if len(names) > max_values:
-        raise ValueError(f"more than {max_values} pivot names; publish long form")
-    return names
+        return sorted(r["n"] for r in df.select(name.alias("n")).distinct().collect())
+    first = F.min(F.struct(*[as_col(c) for c in order_by], name.alias("n")))
+    rows = df.groupBy(name.alias("n")).agg(first.alias("f")).collect()
+    return [r["n"] for r in sorted(rows, key=lambda r: tuple(r["f"]))]
 
 
 def pivot_wide(df: DataFrame, ids: Sequence[str], names_from: str, values_from: str,
                names: Sequence[str] | None = None, sort_names: bool = True,
-               order_by: Sequence[str] | None = None,
-               max_values: int = 10000) -> DataFrame:
+               order_by: Sequence[str] | None = None) -> DataFrame:
     """One column per name, one row per id combination.
 
     Missing cells are NULL. Two rows for the same (ids, name) fail the job
-    (a wide cell holds one value). NULL names form the column ``NA``.
-    Plan: one aggregation keyed by (ids, name) then a pivot-first
-    aggregation keyed by ids; the value list is fixed so no extra job runs
-    to discover it when ``names`` is given.
+    (a wide cell holds one value). NULL names form the column ``NA``. With
+    ``names`` given no job runs to find them, and a row of another name
+    fails the job. Plan: one aggregation keyed by (ids, name), then a
+    pivot-first aggregation keyed by ids.
     """
+    name = F.coalesce(as_col(names_from).cast("string"), F.lit(NULL_NAME))
     if names is None:
-        names = pivot_names(df, names_from, sort_names, order_by, max_values)
+        names = pivot_names(df, names_from, sort_names, order_by)
+    elif names:
+        known = F.array(*[F.lit(n) for n in names])
+        name = F.when(F.array_contains(known, name), name).otherwise(F.raise_error(
+            F.concat(F.lit("pivot name not in the given list: "), name)))
     if not names:  # no rows: the ids alone, one row per id combination
         return df.select(*[as_col(i) for i in ids]).distinct()
-    name = F.coalesce(as_col(names_from).cast("string"), F.lit(NULL_NAME))
     base = df.select(*[as_col(i) for i in ids], name.alias("_name"),
                      as_col(values_from).alias("_v"))
     wide = (base.groupBy(*[as_col(i) for i in ids]).pivot("_name", list(names))

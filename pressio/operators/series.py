@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,49 +26,76 @@ def sum_by(df: DataFrame, keys: Sequence[str],
         *[strict_sum(m).alias(m) for m in ms])
 
 
+# Doubles below this are split exactly into an integer and two 40-bit parts.
+_SPLIT_LIMIT = float(2 ** 62)
+_PART = float(2 ** 40)
+
+
+def _exact_decimal(q):
+    """An integral double below 2**102 as a decimal. (Spark's cast takes the
+    shortest digits that print the double, which need not be its value.)"""
+    step = float(2 ** 51)
+    high = F.floor(q / F.lit(step))
+    low = (q - high * F.lit(step)).cast("long")
+    return (high.cast("decimal(17,0)") * F.lit(Decimal(2 ** 51)).cast("decimal(16,0)")
+            + low.cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, out: str,
-            method: str = "avg", scale: int = 2, max_group: int = 366) -> DataFrame:
+            method: str = "avg", scale: int = 2) -> DataFrame:
     """Strict mean of ``value`` per key.
 
     ``method``:
 
-    * ``"avg"`` - Spark's ``avg`` (sum / count), partial aggregation.
-    * ``"decimal"`` - exact mean of values that carry at most ``scale``
-      decimals: the integer sum of ``x * 10^scale`` and the count are
-      aggregated exactly, then divided once. Independent of row order and
-      partitioning, partial aggregation only, any group size.
-    * ``"two_pass"`` - the mean R computes on binary doubles,
-      ``m + sum(x - m) / n`` with ``m = sum(x) / n``, where both sums fold the
-      group's values in ascending order. The fixed order makes the result
-      the same on every run, partitioning and engine; the two passes make it
-      correctly rounded, which decides ties when the mean is rounded. Meant
-      for period means (one value per day and entity, so a group is a
-      week's or a month's days): a group of more than ``max_group`` values
-      fails the job.
+    * ``"avg"`` - Spark's ``avg`` (sum / count).
+    * ``"exact"`` - the mean of the binary doubles, rounded once: each value
+      is split into its integer part and two 40-bit parts of its fraction,
+      the three are summed as decimals without error, and one division
+      follows. Independent of row order and partitioning; R's two-pass mean
+      gives the same. Where a group holds NaN, an infinity or a value of
+      2**62 or more, its mean is that of plain doubles (R: Inf stays Inf).
+
+    * ``"decimal"`` - the mean of values that carry at most ``scale``
+      decimals: the integer sum of ``x * 10^scale`` and the count, divided
+      once; values too large for that as under ``"exact"``.
+
+    All aggregate partially before the shuffle; a group may be of any size.
     """
-    x = as_col(value)
+    x = as_col(value).cast("double")
     keycols = [as_col(k) for k in keys]
-    complete = F.count(x) == F.count(F.lit(1))
     if method == "avg":
         return df.groupBy(*keycols).agg(strict_mean(x).alias(out))
     if method == "decimal":
         p = 10 ** scale
-        units = F.rint(x * F.lit(float(p))).cast("long")
-        mean = (F.sum(units).cast("double")
-                / (F.count(F.lit(1)) * F.lit(p)).cast("double"))
-        return df.groupBy(*keycols).agg(F.when(complete, mean).alias(out))
-    if method == "two_pass":
-        too_big = F.raise_error(F.lit(f"mean_by: a group holds more than {max_group} values"))
-        g = df.groupBy(*keycols).agg(
-            F.when(F.count(F.lit(1)) > max_group, too_big)
-            .otherwise(F.sort_array(F.collect_list(x.cast("double")))).alias("_v"),
-            complete.alias("_ok"))
-        n = F.size("_v").cast("double")
-        g = g.withColumn("_m", F.aggregate("_v", F.lit(0.0), lambda a, v: a + v) / n)
-        r = F.aggregate("_v", F.lit(0.0), lambda a, v: a + (v - F.col("_m"))) / n
-        mean = F.when(F.col("_ok") & (F.size("_v") > 0), F.col("_m") + r)
-        return g.select(*[as_col(k) for k in keys], mean.alias(out))
-    raise ValueError(f"unknown mean method {method!r}")
+        units = x * F.lit(float(p))
+        fits = F.abs(units) < F.lit(_SPLIT_LIMIT)
+        total = F.sum(F.rint(F.when(fits, units)).cast("long").cast("decimal(20,0)"))
+        n = F.count(F.lit(1)).cast("double")
+        mean = F.when(F.count(F.when(~fits, 1)) > 0, F.sum(x) / n).otherwise(
+            total.cast("double") / (n * F.lit(float(p))))
+        return df.groupBy(*keycols).agg(
+            F.when(F.count(x) == F.count(F.lit(1)), mean).alias(out))
+    if method != "exact":
+        raise ValueError(f"unknown mean method {method!r}")
+    splits = F.abs(x) < F.lit(_SPLIT_LIMIT)
+    v = F.when(splits, x).otherwise(F.lit(0.0))
+    whole = F.floor(v)
+    first = (v - whole) * F.lit(_PART)
+    second = (first - F.floor(first)) * F.lit(_PART)
+    parts = [F.sum(p.cast("decimal(20,0)")) for p in (whole, F.floor(first), F.floor(second))]
+    g = df.groupBy(*keycols).agg(
+        *[p.alias(f"_p{i}") for i, p in enumerate(parts)],
+        F.sum(x).alias("_s"), F.count(F.lit(1)).alias("_n"),
+        (F.count(x) == F.count(F.lit(1))).alias("_ok"),
+        F.count(F.when(~splits, 1)).alias("_odd"))
+    n = F.col("_n").cast("double")
+    # total in units of 2**-40 is q * n + r whatever integer q is taken; both exact
+    total = (F.col("_p0") * F.lit(Decimal(2 ** 40)).cast("decimal(13,0)") + F.col("_p1")).cast("decimal(38,0)")
+    q = F.rint(total.cast("double") / n)
+    r = (total - (_exact_decimal(q) * F.col("_n").cast("decimal(20,0)"))).cast("double")
+    exact = (q + (r + F.col("_p2").cast("double") / F.lit(_PART)) / n) / F.lit(_PART)
+    mean = F.when(F.col("_odd") > 0, F.col("_s") / n).otherwise(exact)
+    return g.select(*keycols, F.when(F.col("_ok"), mean).alias(out))
 
 
 def _series_window(entity: str, date: str):
@@ -112,7 +140,7 @@ def weighted_count(df: DataFrame, keys: Sequence[str], weight: str,
                    out: str) -> DataFrame:
     """Sum of ``weight`` per key, missing weights ignored, 0 for none.
 
-    Sorting by the count (R4) is a presentation step done at the sink.
+    The published order (R4) is that of ``plans.products.population_order``.
     """
     return df.groupBy(*[as_col(k) for k in keys]).agg(
         F.coalesce(F.sum(as_col(weight)), F.lit(0)).alias(out))

@@ -33,7 +33,9 @@ def with_total(df: DataFrame, date: str, entity: str, measures: Sequence[str],
     each measure over all entities of that date; other columns are NULL
     there. Rows with a NULL date belong to no date and are dropped (F12).
     Fails the job if an entity is already named ``label`` or if a
-    (date, entity) pair repeats.
+    (date, entity) pair repeats. That holds for a NULL entity too: two
+    unnamed rows of one date could not be told apart by the lag that follows,
+    so they are refused rather than summed.
 
     One pass over the input: ``GROUPING SETS ((date, entity), (date))``.
     A detail group holds exactly one row (checked), so its strict sums are

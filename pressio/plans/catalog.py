@@ -10,13 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
-from ..functions import (round_r, strict_mean, strict_running_sum,
-                         strict_sum, week_label, week_number)
+from ..functions import (number_text, parse_day, rejected_day, round_r, strict_mean,
+                         strict_running_sum, strict_sum, week_label, week_number)
 from ..operators import (date_range, drop_incomplete, drop_last_key,
                          lagged_increment, natural_join, pivot_wide, recode,
                          running_total, sum_with_total, with_total)
 from ..sources import adapters as A
+from ..sources.io import conformed_cell
 from . import result as P
 from . import products as R
 
@@ -43,9 +45,10 @@ def full_result(spark: SparkSession, sf: str) -> DataFrame:
     return P.full_result(*_inputs(spark, sf), CFG)
 
 
-def _result(spark: SparkSession, sf: str) -> DataFrame:
-    """The full result, materialised once for the products built on it."""
-    return P.materialise(full_result(spark, sf))
+def _index(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    """Day, entity and index of the full result (and ``more``), materialised
+    for the queries that read them more than once or filter on a KPI."""
+    return P.materialise(full_result(spark, sf).select(CFG.date, CFG.entity, *more, CFG.index))
 
 
 def conform_incidence(spark, sf):
@@ -153,9 +156,7 @@ def date_filters(spark, sf):
 
 
 def drop_incomplete_q(spark, sf):
-    res = _result(spark, sf).select(CFG.date, CFG.entity, CFG.increment,
-                                        "incidenza", CFG.index)
-    return drop_incomplete(res)
+    return drop_incomplete(_index(spark, sf, CFG.increment, "incidenza"))
 
 
 def drop_last_key_q(spark, sf):
@@ -163,15 +164,18 @@ def drop_last_key_q(spark, sf):
 
 
 def weekly_mean_long(spark, sf):
-    return R.weekly_long(_result(spark, sf), CFG)
+    return R.weekly_long(_index(spark, sf), CFG)
 
 
 def weekly_wide(spark, sf):
-    return R.weekly_wide(_result(spark, sf), CFG)
+    long = P.materialise(R.weekly_long(full_result(spark, sf), CFG))
+    return R.weekly_wide_of(long, CFG)
 
 
 def daily_wide(spark, sf):
-    return R.daily_wide(_result(spark, sf), CFG)
+    days = date_range(full_result(spark, sf).select(CFG.date, CFG.entity, CFG.index), CFG.date,
+                      CFG.day(CFG.last_days), CFG.day(CFG.snapshot_lag))
+    return R.daily_wide(P.materialise(days), CFG)
 
 
 def events_daily_wide(spark, sf):
@@ -184,23 +188,83 @@ def events_daily_wide(spark, sf):
 
 
 def weighted_count_q(spark, sf):
-    return R.population_by_entity(A.population_raw(spark, sf), CFG)
+    return R.ranked(R.population_by_entity(A.population_raw(spark, sf), CFG), R.population_order(CFG))
+
+
+def feed_cells(spark, sf):
+    """Text cells as feeds spell numbers, days and missing values, written
+    from lineitem, read back as the incidence feed's types (S1-S3, D1)."""
+    li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
+                                               "l_partkey", "l_shipdate")
+    kind = F.col("l_linenumber") % 5
+    whole = F.col("l_quantity").cast("bigint").cast("string")
+    number = (F.when(kind == 0, whole).when(kind == 1, F.concat(whole, F.lit(".0")))
+              .when(kind == 2, F.concat(whole, F.lit("e2"))).when(kind == 3, F.lit("NA"))
+              .otherwise(F.concat(F.lit(" "), whole)))
+    cells = li.select("l_orderkey", "l_linenumber", number.alias("totale_casi"),
+                      F.when(kind == 4, F.lit("x")).otherwise(F.col("l_partkey").cast("string"))
+                      .alias("terapia_intensiva"),
+                      F.when(kind == 2, F.lit("")).otherwise(F.lit(" a ")).alias("note"))
+    return cells.select("l_orderkey", "l_linenumber",
+                        *[conformed_cell(c, t).alias(c) for c, t in (
+                            ("totale_casi", LongType()), ("terapia_intensiva", LongType()),
+                            ("note", StringType()))])
+
+
+def date_spellings(spark, sf):
+    """Ship days in seven spellings, some impossible, parsed."""
+    li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    d, kind = F.to_date("l_shipdate"), (F.col("l_orderkey") + F.col("l_linenumber")) % 8
+    spelled = (F.when(kind == 0, F.date_format(d, "yyyy-MM-dd"))
+               .when(kind == 1, F.date_format(d, "yyyy-M-d")).when(kind == 2, F.date_format(d, "yyyy.MM.dd"))
+               .when(kind == 3, F.date_format(d, "yyyy MM dd")).when(kind == 4, F.date_format(d, "yyyyMMdd"))
+               .when(kind == 5, F.concat(F.date_format(d, "yyyy/MM/dd"), F.lit("T18:00:00")))
+               .when(kind == 6, F.concat(F.year(d).cast("string"), F.lit("-02-30")))
+               .otherwise(F.lit(None).cast("string")))
+    rows = li.select("l_orderkey", "l_linenumber", spelled.alias("text"))
+    return rows.select("*", parse_day("text").alias("day"), F.coalesce(
+        rejected_day("text"), F.lit(False)).alias("rejected"))
+
+
+def number_text_q(spark, sf):
+    """Prices, large and small numbers made from them, as published text."""
+    li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    x = F.col("l_extendedprice")
+    cents = F.rint(x * 100).cast("bigint")
+    return li.select("l_orderkey", "l_linenumber", number_text(F.rint(x)).alias("whole"),
+                     number_text(cents / 4).alias("quarters"),
+                     number_text(cents * F.lit(1 << 38) + 1, integral=True).alias("exact"),
+                     number_text(cents.cast("double") * float(1 << 50)).alias("large"))
+
+
+def join_null_keys(spark, sf):
+    """J1's join where nations and days are missing on either side (F12):
+    NULL entities match, rows without a day go."""
+    orders = A.table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    cust = A.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    entity = F.nullif(F.col("c_nationkey"), F.lit(7))
+    left = (orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+            .select(F.when(F.col("o_orderkey") % 11 != 0, F.to_date("o_orderdate")).alias("day"),
+                    entity.alias("entity")).filter("day is not null")
+            .groupBy("day", "entity").agg(F.count(F.lit(1)).alias("n_orders")))
+    right = cust.groupBy(entity.alias("entity")).agg(F.count(F.lit(1)).alias("n_customers"))
+    return natural_join(left, right.filter(~F.col("entity").eqNullSafe(3)), "left")
 
 
 def snapshot_labelled(spark, sf):
-    return R.snapshot_labelled(_result(spark, sf), CFG)
+    return R.snapshot_labelled(full_result(spark, sf), CFG)
 
 
 def snapshot_map(spark, sf):
-    return R.snapshot_map(_result(spark, sf), CFG)
+    return R.snapshot_map(full_result(spark, sf), CFG)
 
 
 def snapshot_scatter(spark, sf):
-    return R.snapshot_scatter(_result(spark, sf), CFG)
+    return R.snapshot_scatter(full_result(spark, sf), CFG)
 
 
 def arrow(spark, sf):
-    return R.arrow(_result(spark, sf), CFG)
+    return R.arrow(full_result(spark, sf), CFG)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -233,4 +297,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_map": snapshot_map,
     "snapshot_scatter": snapshot_scatter,
     "arrow": arrow,
+    "feed_cells": feed_cells,
+    "date_spellings": date_spellings,
+    "number_text": number_text_q,
+    "join_null_keys": join_null_keys,
 }

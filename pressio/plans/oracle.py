@@ -290,9 +290,51 @@ WITH pc AS (
   SELECT n.n_name AS denominazione_regione,
          CAST(COALESCE(SUM(c.c_custkey), 0) AS BIGINT) AS popolazione_totale
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name)
-SELECT denominazione_regione, popolazione_totale FROM pc
-UNION ALL
-SELECT {lit(TOTAL)}, {ssum('popolazione_totale')} FROM pc"""
+SELECT *, CAST(row_number() OVER (ORDER BY denominazione_regione = {lit(TOTAL)}, popolazione_totale DESC,
+                             denominazione_regione) AS INTEGER) AS rank
+FROM (SELECT denominazione_regione, popolazione_totale FROM pc
+      UNION ALL
+      SELECT {lit(TOTAL)}, {ssum('popolazione_totale')} FROM pc)"""
+
+
+FEED_CELLS = """
+SELECT l_orderkey, l_linenumber,
+  CASE l_linenumber % 5 WHEN 3 THEN NULL WHEN 2 THEN 100 * CAST(l_quantity AS BIGINT)
+       ELSE CAST(l_quantity AS BIGINT) END AS totale_casi,
+  CASE WHEN l_linenumber % 5 <> 4 THEN CAST(l_partkey AS BIGINT) END AS terapia_intensiva,
+  CASE WHEN l_linenumber % 5 <> 2 THEN ' a ' END AS note
+FROM lineitem"""
+
+DATE_SPELLINGS = """
+SELECT l_orderkey, l_linenumber,
+  CASE k WHEN 0 THEN strftime(d, '%Y-%m-%d') WHEN 1 THEN strftime(d, '%Y-%-m-%-d')
+         WHEN 2 THEN strftime(d, '%Y.%m.%d') WHEN 3 THEN strftime(d, '%Y %m %d')
+         WHEN 4 THEN strftime(d, '%Y%m%d') WHEN 5 THEN strftime(d, '%Y/%m/%d') || 'T18:00:00'
+         WHEN 6 THEN CAST(year(d) AS VARCHAR) || '-02-30' END AS text,
+  CASE WHEN k < 6 THEN d END AS day, k = 6 AS rejected
+FROM (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d,
+             (l_orderkey + l_linenumber) % 8 AS k FROM lineitem)"""
+
+NUMBER_TEXT = """
+SELECT l_orderkey, l_linenumber, CAST(CAST(round_even(l_extendedprice, 0) AS BIGINT) AS VARCHAR) AS whole,
+  CAST(cents // 4 AS VARCHAR) || CASE cents % 4 WHEN 0 THEN '' WHEN 1 THEN '.25' WHEN 2 THEN '.5'
+                                       ELSE '.75' END AS quarters,
+  CAST(cents * 274877906944 + 1 AS VARCHAR) AS exact,
+  CAST(CAST(cents AS HUGEINT) * 1125899906842624 AS VARCHAR) AS large
+FROM (SELECT *, CAST(round_even(l_extendedprice * CAST(100 AS DOUBLE), 0) AS BIGINT) AS cents FROM lineitem)"""
+
+JOIN_NULL_KEYS = """
+WITH l AS (
+  SELECT CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS day,
+         nullif(c_nationkey, 7) AS entity
+  FROM orders JOIN customer ON o_custkey = c_custkey
+), a AS (
+  SELECT day, entity, count(*) AS n_orders FROM l WHERE day IS NOT NULL GROUP BY day, entity
+), b AS (
+  SELECT nullif(c_nationkey, 7) AS entity, count(*) AS n_customers FROM customer GROUP BY 1
+)
+SELECT a.day, a.entity, a.n_orders, b.n_customers
+FROM a LEFT JOIN b ON a.entity IS NOT DISTINCT FROM b.entity AND b.entity IS DISTINCT FROM 3"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -356,6 +398,10 @@ def oracle_sql() -> dict[str, str]:
             + f" FROM res WHERE data BETWEEN {lo60} AND {hi2} GROUP BY data", "res"),
         "events_daily_wide": _events_wide(),
         "weighted_count": _population(),
+        "feed_cells": FEED_CELLS,
+        "date_spellings": DATE_SPELLINGS,
+        "number_text": NUMBER_TEXT,
+        "join_null_keys": JOIN_NULL_KEYS,
         "full_result": with_chain("SELECT * FROM res", "res"),
         "snapshot_labelled": with_chain(
             f"SELECT {_labelled_cols()} FROM res WHERE {_snapshot(CFG.snapshot_lag)}", "res"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
@@ -64,10 +64,14 @@ def weekly_wide(result: DataFrame, cfg: PipelineConfig, names=None) -> DataFrame
     """Weekly means pivoted to one column per entity, columns in order
     of first appearance along (week, year); ``week`` replaced by its Monday
     label; the greatest (week, year) row dropped (R1, F5, D6, F9)."""
-    long = weekly_long(result, cfg)
+    return weekly_wide_of(weekly_long(result, cfg), cfg, names)
+
+
+def weekly_wide_of(long: DataFrame, cfg: PipelineConfig, names=None) -> DataFrame:
+    """P6 from the weekly means, which are read three times (names, greatest
+    week, cells): pass them materialised."""
     wide = pivot_wide(long, ["week", "year"], cfg.entity, f"media_{cfg.index}",
-                      names=names, sort_names=False, order_by=["week", "year"],
-                      max_values=cfg.pivot_max_values)
+                      names=names, sort_names=False, order_by=["week", "year"])
     wide = map_numeric(wide, lambda x: round_r(x, 2), only_fractional=True)
     wide = drop_last_key(wide, ["week", "year"])
     return wide.withColumn("week", week_label("year", "week"))
@@ -79,7 +83,7 @@ def daily_wide(result: DataFrame, cfg: PipelineConfig, names=None) -> DataFrame:
     s = date_range(result.select(as_col(cfg.date), as_col(cfg.entity), as_col(cfg.index)),
                    cfg.date, cfg.day(cfg.last_days), cfg.day(cfg.snapshot_lag))
     return pivot_wide(s, [cfg.date], cfg.entity, cfg.index, names=names,
-                      sort_names=True, max_values=cfg.pivot_max_values)
+                      sort_names=True)
 
 
 def population_by_entity(population_raw: DataFrame, cfg: PipelineConfig,
@@ -113,4 +117,14 @@ def weekly_order():
 
 
 def population_order(cfg: PipelineConfig, out: str = "popolazione_totale"):
-    return [(as_col(cfg.entity) == F.lit(cfg.total_label)).asc(), as_col(out).desc()]
+    return [(as_col(cfg.entity) == F.lit(cfg.total_label)).asc(), as_col(out).desc(),
+            as_col(cfg.entity).asc()]
+
+
+def ranked(df: DataFrame, order, out: str = "rank") -> DataFrame:
+    """``df`` with each row's place in a published order (R4), from 1.
+
+    The rows of a published table (one per entity) are in one task here.
+    """
+    place = Window.partitionBy(F.lit(0)).orderBy(*order)
+    return df.withColumn(out, F.row_number().over(place))

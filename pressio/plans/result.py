@@ -8,7 +8,7 @@ from pyspark.sql.types import DateType
 
 from ..config import PipelineConfig
 from ..functions import as_col, parse_day
-from ..operators import (bounded_broadcast, lagged_increment, natural_join,
+from ..operators import (lagged_increment, natural_join,
                          recode, running_total, stress_kpis, sum_by,
                          sum_with_total, with_grand_total, with_total)
 
@@ -71,11 +71,20 @@ def prepare_vaccinations(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return completed_courses(dose_sums(conform_vaccinations(raw, cfg), cfg), cfg)
 
 
-def vaccination_series(prepared: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """New completed courses per (day, entity) with a total per day
-    (A2+A5, one grouping-sets pass), then their running total (W3)."""
-    daily = sum_with_total(prepared, cfg.date, cfg.entity, cfg.course_total,
-                           cfg.new_vaccinated, cfg.total_label)
+def daily_vaccinations(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """New completed courses per (day, entity) with a total per day.
+
+    Which dose completes a course depends on the row's supplier alone, so it
+    is chosen row by row (F11) and A4, A2 and A5 are one aggregation: the
+    strict sum of a day's rows is that of its suppliers' strict sums.
+    """
+    rows = completed_courses(conform_vaccinations(raw, cfg), cfg)
+    return sum_with_total(rows, cfg.date, cfg.entity, cfg.course_total,
+                          cfg.new_vaccinated, cfg.total_label)
+
+
+def vaccination_series(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """The running total of new completed courses."""
     return running_total(daily, cfg.entity, cfg.date, cfg.new_vaccinated,
                          cfg.vaccinated)
 
@@ -88,30 +97,20 @@ def dimension_with_total(dim: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 
 def join_dimension(incidence: DataFrame, dimension: DataFrame,
-                   cfg: PipelineConfig, dimension_rows_checked: bool = False) -> DataFrame:
-    """Incidence left-joined with the dimension on the entity.
-
-    The dimension holds one row per entity. When it is a materialised table
-    (``dimension_rows_checked``) its row count is checked against
-    ``cfg.broadcast_max_rows`` and it is broadcast within the bound. When it
-    is itself derived from a large table, no count is run (that would
-    compute it twice): adaptive execution measures its shuffle output and
-    turns the join into a broadcast join when it is small.
-    """
-    dim = dimension
-    if dimension_rows_checked:
-        dim, _ = bounded_broadcast(dimension, cfg.broadcast_max_rows)
-    return natural_join(incidence, dim, "left")
+                   cfg: PipelineConfig) -> DataFrame:
+    """Incidence left-joined with the dimension on the entity (J1). Whether a
+    side is broadcast follows from its size in bytes, as adaptive execution
+    measures it."""
+    return natural_join(incidence, dimension, "left")
 
 
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the session's checkpoint folder and read it back.
 
-    The full result feeds every product: materialising it computes it once
-    (O4), cuts the lineage (a lost executor recomputes nothing upstream) and
-    stops predicates on KPI columns from being rewritten into the KPI
-    expressions below (O3). The folder is the shared one named by
-    ``spark.checkpoint.dir``.
+    For the few columns that a product filters or pivots on: it stops
+    predicates on KPI columns from being rewritten into the KPI expressions
+    below (O3) and is computed once where it is read more often. The folder
+    is the shared one named by ``spark.checkpoint.dir``.
     """
     return df.checkpoint(eager=True)
 
@@ -126,6 +125,6 @@ def full_result(incidence_raw: DataFrame, vaccination_raw: DataFrame,
     """
     inc = incidence_series(prepare_incidence(incidence_raw, cfg), cfg)
     x = join_dimension(inc, dimension_with_total(dimension_raw, cfg), cfg)
-    vax = vaccination_series(prepare_vaccinations(vaccination_raw, cfg), cfg)
-    y = natural_join(x, vax, "right")
+    vax = vaccination_series(daily_vaccinations(vaccination_raw, cfg), cfg)
+    y = natural_join(x, vax, "right", never_null=[cfg.date])
     return stress_kpis(y, cfg)

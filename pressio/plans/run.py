@@ -2,10 +2,10 @@
 
 Mirrors the published pipeline's run (every few hours, full recompute,
 overwrite), re-expressed for Spark: the full result is written once as
-Parquet partitioned by month (S5) into the output folder; every product is
-read back from the months it needs (partition pruning) and written as one
-small CSV each (S6, S7). A rerun overwrites all outputs, so the job is
-idempotent; a lost executor only recomputes the stage it was running.
+Parquet partitioned by month (S5) into a new run folder; every product is
+read back from the months it needs (partition pruning) and written as CSV
+(S6, S7). A marker written last publishes the run as a whole: readers take
+the latest marked run, so a failure half way shows nothing of itself.
 
     python -m pressio.plans.run --incidence PATH --vaccination PATH \\
         --dimension PATH --out DIR --as-of 2022-05-19 [--population PATH]
@@ -16,6 +16,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -48,8 +49,12 @@ def product_months(cfg: PipelineConfig) -> dict:
 
 def run_all(spark: SparkSession, incidence, vaccination, dimension, out_dir: str,
             cfg: PipelineConfig = REFERENCE, population=None) -> dict:
-    """Compute, write and publish; returns the written paths."""
-    result_path = os.path.join(out_dir, "result")
+    """Compute, write and publish into a fresh run folder, then make it the
+    current one; returns the written paths. A run that fails leaves the
+    published set as it was: see :func:`current_run`."""
+    run = f"run-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    run_dir = os.path.join(out_dir, "runs", run)
+    result_path = os.path.join(run_dir, "result")
     write_result(P.full_result(incidence, vaccination, dimension, cfg), result_path, cfg.date)
     written = {"result": result_path}
     labels = dict((c, lab) for lab, c in cfg.table_labels)
@@ -63,18 +68,41 @@ def run_all(spark: SparkSession, incidence, vaccination, dimension, out_dir: str
     }
     needed = product_months(cfg)
     for name, product in PRODUCTS.items():
-        path = os.path.join(out_dir, "products", name)
+        path = os.path.join(run_dir, "products", name)
         result = read_result(spark, result_path, needed[name])
         publish_csv(product(result, cfg), path, order_by=order[name])
         written[name] = path
     if population is not None:
-        path = os.path.join(out_dir, "population")
+        path = os.path.join(run_dir, "population")
         publish_csv(R.population_by_entity(population, cfg), path,
                     order_by=R.population_order(cfg))
         written["population"] = path
+    _make_current(spark, out_dir, run)
     return written
 
 
+def _store(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _make_current(spark: SparkSession, out_dir: str, run: str) -> None:
+    """An empty marker, named so that the latest sorts last, appears in one
+    step after everything else is written."""
+    p, fs = _store(spark, os.path.join(out_dir, "published", run))
+    fs.mkdirs(p.getParent())
+    fs.create(p, False).close()
+
+
+def current_run(spark: SparkSession, out_dir: str) -> str | None:
+    """The folder of the latest run that was published whole."""
+    p, fs = _store(spark, os.path.join(out_dir, "published"))
+    if not fs.exists(p):
+        return None
+    names = sorted(s.getPath().getName() for s in fs.listStatus(p))
+    return os.path.join(out_dir, "runs", names[-1]) if names else None
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n")[0])
     ap.add_argument("--incidence", required=True)

@@ -19,16 +19,11 @@ population (entity x customer): weight = customer key.
 from __future__ import annotations
 
 import datetime as dt
-import weakref
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
-from ..operators.joins import bounded_broadcast
-
-# TPC-H fixes the nation table at 25 rows; the bound is checked, not assumed.
-NATION_MAX_ROWS = 1000
 
 DRIVER = PipelineConfig(
     total_label="TOTAL",
@@ -39,29 +34,13 @@ DRIVER = PipelineConfig(
 )
 
 
-# Per-session memo (entries go with their session object).
-_READERS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
-_CHECKED: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table's reader, defined once per session and path (file listing
-    and footer schema are read once; every query still scans the files)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    readers = _READERS.setdefault(spark, {})
-    if path not in readers:
-        readers[path] = spark.read.parquet(path)
-    return readers[path]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nation table, broadcast once its row count is checked (once per
-    session and path)."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    checked = _CHECKED.setdefault(spark, {})
-    if sf_dir not in checked:
-        checked[sf_dir] = bounded_broadcast(nation, NATION_MAX_ROWS)[1]
-    return F.broadcast(nation) if checked[sf_dir] else nation
+    """The nation table; its size in bytes decides whether it is broadcast."""
+    return table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
 
 def incidence_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,8 +50,7 @@ def incidence_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = _nations(spark, sf_dir)
-    # fact-to-base-table joins first (sizes known from the files, so Spark
-    # picks the build side), the checked 25-row nation table last
+    # joins of base tables, whose sizes are known from the files
     lines = (li.join(orders, li.l_orderkey == orders.o_orderkey)
              .join(cust, F.col("o_custkey") == F.col("c_custkey"))
              .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))

@@ -2,38 +2,80 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, NumericType, StringType, StructType,
-                               TimestampType)
+from pyspark.sql.types import (DataType, DateType, IntegralType, NumericType, StringType,
+                               StructType, TimestampType)
 
 from ..functions import as_col, number_text
 
 
+def conformed_cell(name: str, kind: DataType) -> Column:
+    """A feed's text cell as its declared type.
+
+    Empty text, quoted or not, and ``NA`` are missing. A whole number may be
+    spelled ``1234``, ``1234.0`` or ``1e5``; text that is no number becomes
+    NULL (the row is kept); a number with a fraction in an integer column
+    fails the job, as no integer stands for it.
+    """
+    c = as_col(name)
+    trimmed = F.trim(c)
+    given = F.when(~trimmed.isin("", "NA"), trimmed)
+    if isinstance(kind, StringType):
+        return F.when(given.isNotNull(), c)
+    if isinstance(kind, IntegralType):
+        d = given.try_cast("double")
+        ok = ~F.isnan(d) & (F.abs(d) < F.lit(float(2 ** 63)))
+        refused = F.raise_error(F.concat(F.lit(f"{name}: not a whole number: "), given)).cast(kind)
+        return F.coalesce(given.try_cast(kind),
+                          F.when(ok & (d != F.floor(d)), refused).when(ok, d.try_cast("long").try_cast(kind)))
+    return given.try_cast(kind)
+
+
+def _csv(spark: SparkSession, paths):
+    # a header that differs from the one the columns were taken from fails
+    return (spark.read.option("header", True).option("enforceSchema", False)
+            .option("encoding", "UTF-8").option("inferSchema", False).csv(paths))
+
+
+def _csv_by_name(spark: SparkSession, path: str, names) -> DataFrame:
+    """The named columns of every CSV file under ``path``, wherever each
+    file has them. Files with one header are one scan; a feed of one file,
+    the usual case, costs no look at the others' headers."""
+    df = _csv(spark, path)
+    files = df.inputFiles()
+    groups: dict[tuple, list] = {tuple(df.columns): files}
+    if len(files) > 1:
+        groups = {}
+        for f in files:
+            groups.setdefault(tuple(_csv(spark, f).columns), []).append(f)
+    parts = []
+    for header, members in groups.items():
+        missing = [n for n in names if n not in header]
+        if missing:
+            raise ValueError(f"{members[0] if members else path}: missing columns {missing}")
+        one = df if len(groups) == 1 else _csv(spark, members)
+        parts.append(one.select(*[as_col(n) for n in names]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                fmt: str | None = None) -> DataFrame:
     """Read a landed feed (S1-S4) with a declared schema.
 
-    CSV: header row, ``NA`` and the empty string are NULL, UTF-8; a cell
-    that does not parse as its declared type becomes NULL (the row is
-    kept), as the published pipeline's reader does. Parquet:
-    the declared columns are selected and cast, so a source with extra
-    columns or wider types is conformed at the scan (pruning applies).
+    CSV: header row, UTF-8, columns taken by name file by file, cells as
+    :func:`conformed_cell` has it. Parquet: the declared columns are selected
+    and cast, so a source with extra columns or wider types is conformed at
+    the scan (pruning applies).
     """
     fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     if fmt == "csv":
-        # Columns are taken by header name (feeds carry more columns, in their
-        # own order), read as text and cast per declared type.
-        df = (spark.read.option("header", True).option("nullValue", "NA")
-              .option("emptyValue", None).option("encoding", "UTF-8")
-              .option("inferSchema", False).csv(path))
         if schema is None:
-            return df
-        missing = [f.name for f in schema.fields if f.name not in df.columns]
-        if missing:
-            raise ValueError(f"{path}: missing columns {missing}")
-        return df.select(*[as_col(f.name).try_cast(f.dataType).alias(f.name)
-                           for f in schema.fields])
+            return _csv(spark, path)
+        df = _csv_by_name(spark, path, schema.names)
+        return df.select(*[conformed_cell(f.name, f.dataType).alias(f.name) for f in schema.fields])
     df = spark.read.format(fmt).load(path)
     if schema is None:
         return df
@@ -52,17 +94,17 @@ MONTH = "month"
 
 
 def write_result(df: DataFrame, path: str, date_col: str = "data") -> None:
-    """Write the full result once (S5): one folder and one file per month,
-    rows sorted by day inside it.
+    """Write the full result once (S5): one folder per month, rows sorted by
+    day inside each file.
 
-    The result holds one row per (day, entity), so a month is a bounded
-    unit; a few files per year keep listing and writing cheap on a shared
-    store, and the day order gives each Parquet row group a narrow day range
-    that a day filter skips on its statistics. The whole target is
+    Rows are rebalanced by month: adaptive execution splits a month that is
+    larger than the advisory partition size over several tasks and files and
+    joins small ones. The day order gives each Parquet row group a narrow
+    day range that a day filter skips on its statistics. The whole target is
     overwritten: a rerun replaces it.
     """
     (df.withColumn(MONTH, F.date_format(as_col(date_col), "yyyy-MM"))
-     .repartition(F.col(MONTH)).sortWithinPartitions(as_col(date_col))
+     .hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, as_col(date_col))
      .write.mode("overwrite").partitionBy(MONTH).parquet(path))
 
 
@@ -89,22 +131,19 @@ def publish_frame(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = as_col(f.name)
         if isinstance(f.dataType, NumericType):
-            c = number_text(c)
+            c = number_text(c, isinstance(f.dataType, IntegralType))
         out.append(c.cast("string").alias(f.name))
     return df.select(*out)
 
 
 def publish_csv(df: DataFrame, path: str, order_by=None) -> None:
-    """Write one small published CSV (S6): header, ``NA`` for NULL, one file.
+    """Write a published CSV (S6): header, ``NA`` for NULL, rows in order.
 
-    Only for the small products (tens to thousands of rows); the single
-    output partition is the point of the product, not a shortcut.
+    A sort by range: the part files, read in the order of their names, are
+    the table in its order. A small table is one file, as adaptive execution
+    joins its ranges; one that grows with the entities is several.
     """
-    # one partition by a shuffle (the product's own stages stay parallel),
-    # then a sort inside it: no range-partition sampling job for a small file
-    out = df.repartition(1)
-    if order_by is not None:
-        out = out.sortWithinPartitions(*order_by)
+    out = df.orderBy(*order_by) if order_by is not None else df.hint("rebalance")
     (publish_frame(out).write.mode("overwrite").option("header", True)
      .option("nullValue", "NA").option("emptyValue", "")
      .option("encoding", "UTF-8").csv(path))

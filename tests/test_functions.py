@@ -111,5 +111,44 @@ def test_number_text(spark):
                          -3.64, 0.00012, 1e23, 1e-20, 2.0 ** 60])
     got = [r["t"] for r in df.select(number_text("x").alias("t")).collect()]
     assert got == ["10", "17116550", "86.50999999999999", None, "0.05", "123456789.25",
-                   "-3.64", "0.00012", "99999999999999990000000", "1.0E-20",
-                   "1152921504606846980"]
+                   "-3.64", "0.00012", "99999999999999991611392", "1.0E-20",
+                   "1152921504606846976"]
+
+
+def test_exact_integers_as_text(spark):
+    from decimal import Decimal
+    vals = [9007199254740993, 2 ** 62 + 1, -(2 ** 63)]
+    df = spark.createDataFrame([(v,) for v in vals], "x long")
+    assert [r["t"] for r in df.select(number_text("x", integral=True).alias("t")).collect()] == [str(v) for v in vals]
+    doubles = [2.0 ** k * m for k in (52, 61, 63, 70, 80, 90, 100, 110) for m in (1, -1.5, 1.9999999)]
+    df = spark.createDataFrame([(v,) for v in doubles], "x double")
+    got = [r["t"] for r in df.select(number_text("x").alias("t")).collect()]
+    assert [Decimal(t) for t in got] == [Decimal(v) for v in doubles]
+    assert not any("E" in t for t in got)
+
+
+def test_days_as_feeds_spell_them(spark):
+    import datetime as dt
+    from pressio.functions import parse_day, rejected_day
+    want = {"2009-01-04": dt.date(2009, 1, 4), "2009-1-4": dt.date(2009, 1, 4), "2009.01.04": dt.date(2009, 1, 4),
+            "2009 01 03": dt.date(2009, 1, 3), "20090104": dt.date(2009, 1, 4), "2009/1/04": dt.date(2009, 1, 4),
+            "2020-02-24T18:00:00": dt.date(2020, 2, 24), "2020-02-24 18:00:00": dt.date(2020, 2, 24),
+            "2021-02-30": None, "x": None, "200901045": None, "": None, None: None, " 2009-01-04 ": dt.date(2009, 1, 4)}
+    df = spark.createDataFrame([(t,) for t in want], "t string")
+    got = {r["t"]: (r["d"], r["r"]) for r in df.select("t", parse_day("t").alias("d"),
+                                                        rejected_day("t").alias("r")).collect()}
+    assert {t: d for t, (d, _) in got.items()} == want
+    assert {t for t, (_, r) in got.items() if r} == {"2021-02-30", "x", "200901045"}
+
+
+def test_division_by_zero_as_ieee(spark):
+    import math
+    from pressio.functions import ratio
+    inf, nan = float("inf"), float("nan")
+    rows = [(1.0, 0.0), (-1.0, 0.0), (1.0, -0.0), (-1.0, -0.0), (0.0, 0.0), (nan, 0.0), (inf, -0.0), (None, 0.0),
+            (1.0, None), (1.0, nan), (6.0, 3.0)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a double, b double")
+    got = [r["q"] for r in df.orderBy("i").select(ratio("a", "b", "inf").alias("q")).collect()]
+    want = [inf, -inf, -inf, inf, nan, nan, -inf, None, None, nan, 2.0]
+    assert all(g == w or (w is not None and g is not None and math.isnan(g) and math.isnan(w))
+               for g, w in zip(got, want))

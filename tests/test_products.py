@@ -1,8 +1,5 @@
 """Product identities and join cardinality on the driver's tables."""
 
-import os
-import tempfile
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,8 +7,6 @@ from conftest import SF001, SF01
 from pressio.plans import catalog as C
 from pressio.plans import result as P
 from pressio.plans import products as R
-from pressio.streaming import refresh_on_arrival
-from pressio.sources import schemas
 
 CFG = C.CFG
 
@@ -45,18 +40,6 @@ def test_running_total_differences_are_daily_values(spark):
     assert bad.count() == 0
 
 
-def test_refresh_runs_job_once_per_new_files(spark):
-    land = tempfile.mkdtemp(prefix="pressio-land-")
-    ckpt = tempfile.mkdtemp(prefix="pressio-refresh-")
-    calls = []
-    with open(os.path.join(land, "a.csv"), "w", encoding="utf-8") as fh:
-        fh.write("data,denominazione_regione,totale_casi,terapia_intensiva,ricoverati_con_sintomi\n")
-        fh.write("2022-05-17T17:00:00,Lazio,1,2,3\n")
-    refresh_on_arrival(spark, land, schemas.INCIDENCE, lambda: calls.append(1), ckpt)
-    refresh_on_arrival(spark, land, schemas.INCIDENCE, lambda: calls.append(1), ckpt)
-    assert calls == [1]
-
-
 def test_weekly_order_inverts_the_label(spark):
     import datetime as dt
     from pressio.functions import week_label
