@@ -1,7 +1,9 @@
 """Links between members of candidate buckets, without pairing buckets off.
 
-All members of a bucket are first compared with one hub. Members that are by
-then connected to it need no more; each of the others (outsiders) is compared
+All members of a bucket are first compared with one hub. Buckets of the same
+members have up to ``HUBS`` different ones, so that a member that happens to
+differ from one hub of a large group is still connected to it by another.
+Members that are by then connected to their bucket's hub need no more; each of the others (outsiders) is compared
 with the members of other components, a growing number of outsiders at a
 time, until all are done. A large group of alike members costs a link to a
 hub each, and no pair of a bucket that could join two components is left out:
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from ._common import cut
 from .components import connected_components
 
+HUBS = 4
 FIRST_OUTSIDERS = 8
 GROWTH = 8
 SLACK = 1e-9
@@ -39,13 +42,14 @@ def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify]
     def alike(x, y):
         return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
-    hubs = (members.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("h"),
+    turn = F.xxhash64(F.pmod("key", F.lit(HUBS)), "rep")
+    hubs = (members.groupBy("key").agg(F.min(F.struct(turn.alias("t"), "rep", "n")).alias("h"),
                                        F.count(F.lit(1)).alias("c")).filter("c > 1")
             .select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n")))
     shared = cut(members.join(hubs, "key"))
     verify = prepare(shared.select("rep").distinct())
     pairs = (shared.filter((F.col("rep") != F.col("hub")) & alike(F.col("n"), F.col("hub_n")))
-             .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+             .select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct())
     done = verify(cut(pairs))
     comps = cut(connected_components(done.filter("linked"), "a", "b"))
     outside = with_component(with_component(shared, "rep", "comp", comps), "hub", "hub_comp", comps)
@@ -56,9 +60,9 @@ def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify]
     if not last:
         return comps
     # the buckets that have outsiders, with each member's distance to the hub
-    to_hub = done.select(F.col("a").alias("hub"), F.col("b").alias("rep"), "far")
-    open_ = cut(shared.join(outside.select("key").distinct(), "key", "left_semi")
-                .join(to_hub, ["hub", "rep"], "left"))
+    open_ = shared.join(outside.select("key").distinct(), "key", "left_semi")
+    open_ = cut(open_.withColumn("a", F.least("hub", "rep")).withColumn("b", F.greatest("hub", "rep"))
+                .join(done.select("a", "b", "far"), ["a", "b"], "left").drop("a", "b"))
     reach = 1 - percent / 100 + SLACK
     lo, step = 0, FIRST_OUTSIDERS
     while lo < last:
