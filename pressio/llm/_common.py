@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
 
@@ -73,7 +72,3 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = col.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     return raw[off[0]:off[-1]], off - off[0]
-
-
-def with_env(name: str, value: str) -> None:
-    os.environ.setdefault(name, value)

@@ -27,8 +27,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import cut
-
 PIVOTS = 64
 SCALE = 256
 QUERY_BLOCK = 512

@@ -33,8 +33,6 @@ earlier place of anything; an empty table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
