@@ -55,7 +55,7 @@ _PARSE = "trigger long, digest long, doc_id long, packed long"
 # A phrase's tag, start, whether merged, and windows, in one long that sorts
 # by tag and start: the parse is what is shuffled most.
 _TAG_BITS, _START_BITS, _N_BITS = 20, 31, 11
-_RUNS = "doc_id long, tag int, start int, n int, open boolean"
+_RUNS = "doc_id long, tag int, start int, n int, trigger long, open boolean"
 
 
 def _rolling(raw: np.ndarray, gram: int) -> np.ndarray:
@@ -155,8 +155,8 @@ def _parse_table(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _dictionary(parsed: DataFrame) -> DataFrame:
-    """Sorted phrases to (place, windows, open): closed rows are repeats,
-    open ones dictionary phrases that share their trigger with another.
+    """Sorted phrases to (place, windows, trigger, open): closed rows are
+    repeats, open ones dictionary phrases that share their trigger with another.
     Other dictionary phrases are dropped: nothing in them occurs twice."""
     names = [x.split()[0] for x in _RUNS.split(", ")]
 
@@ -169,7 +169,8 @@ def _dictionary(parsed: DataFrame) -> DataFrame:
             t, d, doc, packed = (np.asarray(c) for c in batch.columns)
             tag, start, merged, n = _unpacked(packed)
             place = [doc, tag, start, n]
-            rows = [(*(c[merged] for c in place), np.zeros(int(merged.sum()), bool))]
+            closed = int(merged.sum())
+            rows = [(*(c[merged] for c in place), np.zeros(closed, np.int64), np.zeros(closed, bool))]
             t, d, packed, place = t[~merged], d[~merged], packed[~merged], [c[~merged] for c in place]
             if len(t):  # the same place again, from a row that repeats
                 mark = np.stack([t, d, place[0], packed])
@@ -186,22 +187,22 @@ def _dictionary(parsed: DataFrame) -> DataFrame:
                 if goes_on:
                     count[0] += seen
                     if alone is not None and count[0] > 1:
-                        rows.append((*(np.array([v]) for v in alone), np.ones(1, bool)))
+                        rows.append((*(np.array([v]) for v in alone), t[:1], np.ones(1, bool)))
                         alone = None
                 shared = new_d & (count[group] > 1)
                 take = shared | ~new_d
-                rows.append((*(c[take] for c in place), shared[take]))
+                rows.append((*(c[take] for c in place), np.where(shared, t, 0)[take], shared[take]))
                 t0, d0, seen = t[-1], d[-1], count[-1]
                 if seen > 1:
                     alone = None
                 elif not (goes_on and group[-1] == 0):
                     i = int(np.flatnonzero(group == group[-1])[0])
                     alone = tuple(c[i] for c in place)
-            doc, tag, start, n, is_open = (np.concatenate(c) for c in zip(*rows))
+            doc, tag, start, n, trigger, is_open = (np.concatenate(c) for c in zip(*rows))
             if len(doc):
                 yield pa.RecordBatch.from_arrays(_columns(
                     doc.astype(np.int64), tag.astype(np.int32), start.astype(np.int32),
-                    n.astype(np.int32), is_open.astype(bool)), names=names)
+                    n.astype(np.int32), trigger, is_open.astype(bool)), names=names)
 
     dealt = parsed.repartition("trigger").sortWithinPartitions(
         "trigger", "digest", "doc_id", "packed")
@@ -271,7 +272,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text",
     tag = F.xxhash64("text").bitwiseAND(F.lit((1 << _TAG_BITS) - 1)).cast("int")
     texts = every.filter("doc_id is not null").withColumn("tag", tag)
     runs = _dictionary(_parse_table(texts, length))
-    per_doc = runs.groupBy(*_KEYS).agg(F.collect_list(F.struct("start", "n", "open")).alias("runs"))
+    per_doc = runs.groupBy(*_KEYS).agg(F.collect_list(F.struct("start", "n", "trigger", "open")).alias("runs"))
     met = texts.join(per_doc, _KEYS, "left")
 
     def open_phrases(batches):
@@ -288,10 +289,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 start, n = np.asarray(v.field("start"))[at], np.asarray(v.field("n"))[at]
                 blob = batch.column("text")[i].as_py().encode()
                 parts = [blob[a:a + b + length - 1] for a, b in zip(start.tolist(), n.tolist())]
-                trigger = [int(parse(np.frombuffer(p, np.uint8), length)[0][0]) for p in parts]
                 k = len(parts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(trigger, pa.int64()), pa.array(parts, pa.binary()),
+                    [pa.array(np.asarray(v.field("trigger"))[at]), pa.array(parts, pa.binary()),
                      pa.array(np.full(k, batch.column("doc_id")[i].as_py())),
                      pa.array(np.full(k, batch.column("tag")[i].as_py(), np.int32)),
                      pa.array(start.astype(np.int32))],
