@@ -257,10 +257,12 @@ def mix_texts(docs: DataFrame, block: int = BLOCK, **kw) -> DataFrame:
     spans = (pos.filter("size > 0").select("_rank", "_start", "_h1", "_h2")
              .join(got, ["_rank", "_start"]).select("_h1", "_h2", "_p"))
     words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    text = F.array_join(F.flatten(F.transform("_p", lambda p: F.slice(
-        F.col("_w"), (p["piece_first"] + 1).cast("int"), p["piece_words"].cast("int")))), " ")
+    # the words are bound once: as a column they would be made again for every piece
+    text = F.transform(F.array(words), lambda w: F.array_join(F.flatten(F.transform(
+        F.col("_p"), lambda p: F.slice(w, (p["piece_first"] + 1).cast("int"),
+                                       p["piece_words"].cast("int")))), " "))[0]
     out = (sized.filter("_size > 0").dropDuplicates(["_h1", "_h2"]).join(spans, ["_h1", "_h2"])
-           .withColumn("_w", words).withColumn("text", text))
+           .withColumn("text", text))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*names)
