@@ -88,4 +88,4 @@ def op5_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every line of every document, its group, and whether it stays."""
-    return line_dedup.judged_lines(table(spark, sf, "documents"))
+    return line_dedup.judged_lines(table(spark, sf, "documents"), every=True)
