@@ -4,9 +4,11 @@ Unit vectors are cut into halves, each with a codebook of its own; the
 product of the two codebooks is a grid of cells. A vector lies in one cell
 and, as a query, visits cells in the order of the summed squared distances
 of its halves to their centres (the multi-sequence order), until so many
-that the target recall is met. That number is measured: a bounded sample of
-queries is compared with every vector by brute force, and the index visits
-as many cells as it takes to hold the target share of their links. Cells
+that the target recall is met. That number is measured on a bounded sample of
+queries, and is what the harder of two tests asks for: ``PARTNERS`` made
+vectors at the threshold's distance of each query, in random directions, and
+the links that the queries have by brute force, each linked query counting
+alike. Nothing bounds it but the grid itself, with which nothing is missed. Cells
 that the bisecting planes put beyond the threshold's distance end a
 traversal early without losing anything. Candidates are verified in double
 precision.
@@ -43,9 +45,10 @@ PER_CELL = 256
 LARGEST_CODEBOOK = 2048
 SAMPLE_PER_CODE = 64
 CALIBRATION = 256
+PARTNERS = 16
 LEAST_VISITS = 4
-MOST_VISITS = 64
 BLOCK = 1024
+CHUNK = 1 << 22                   # numbers held at once in a traversal
 
 
 def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,28 +86,40 @@ class MultiIndex:
     def traversals(self, x: np.ndarray, visits: int) -> np.ndarray:
         """The first ``visits`` cells of each row in multi-sequence order, -1
         where the traversal has ended."""
-        d, low = [], []
-        for h, c in zip(_halves(x), self.books):
+        # the cell of the i-th and j-th code in order has (i + 1)(j + 1) - 1 before it
+        n = [min(visits, len(c)) for c in self.books]
+        pairs = np.array([(i, j) for i in range(n[0]) for j in range(min(n[1], visits // (i + 1)))])
+        step = max(1, CHUNK // max(len(pairs), sum(map(len, self.books))))
+        return np.concatenate([self._traversals(x[lo:lo + step], visits, pairs)
+                               for lo in range(0, max(len(x), 1), step)])
+
+    def _traversals(self, x: np.ndarray, visits: int, pairs: np.ndarray) -> np.ndarray:
+        total, out_of, cell = 0, 0, 0
+        for at, h, c in zip(pairs.T, _halves(x), self.books):
             t = _distances(h, c)
-            near = t.argmin(axis=1)
-            gap = np.sqrt(_distances(c, c))[near]
+            gap = np.sqrt(_distances(c, c))[t.argmin(axis=1)]
             lb = (t - t.min(axis=1)[:, None]) / np.maximum(2 * gap, 1e-12)
-            d.append(t)
-            low.append(np.where(gap > 0, np.maximum(lb, 0), 0) ** 2)
-        # the r-th cell in order has at most r codes before it in either half
-        n = [min(visits, t.shape[1]) for t in d]
-        best = [np.argpartition(t, m - 1, axis=1)[:, :m] for t, m in zip(d, n)]
-        take = [np.take_along_axis(t, b, axis=1) for t, b in zip(d, best)]
-        far = [np.take_along_axis(t, b, axis=1) for t, b in zip(low, best)]
-        total = (take[0][:, :, None] + take[1][:, None, :]).reshape(len(x), -1)
-        out_of = ((far[0][:, :, None] + far[1][:, None, :]) > self.reach).reshape(len(x), -1)
-        cell = (best[0][:, :, None] * len(self.books[1]) + best[1][:, None, :]).reshape(len(x), -1)
-        m = min(visits, total.shape[1])
-        total = np.where(out_of, np.inf, total)
-        order = np.argsort(total, axis=1, kind="stable")[:, :m]
+            far = np.where(gap > 0, np.maximum(lb, 0), 0) ** 2
+            order = np.argsort(t, axis=1, kind="stable")[:, at]
+            total = total + np.take_along_axis(t, order, axis=1)
+            out_of = out_of + np.take_along_axis(far, order, axis=1)
+            cell = cell * len(c) + order
+        total = np.where(out_of > self.reach, np.inf, total)
+        order = np.argsort(total, axis=1, kind="stable")[:, :visits]
         found = np.take_along_axis(cell, order, axis=1)
         return np.where(np.isinf(np.take_along_axis(total, order, axis=1)), -1, found)
 
+    def visits_to(self, q: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """How many cells of row q[i]'s order end with cells[i], ties included."""
+        d = [_distances(h, c) for h, c in zip(_halves(q), self.books)]
+        last = np.sort(d[1], axis=1)
+        out = np.empty(len(q), np.int64)
+        for i, cell in enumerate(cells):
+            total = d[0][i][cell // len(self.books[1])] + d[1][i][cell % len(self.books[1])]
+            left = total * (1 + 1e-9) + 1e-12 - d[0][i]
+            out[i] = np.searchsorted(last[i], left, side="right").sum()
+        return out
+
 
 def _unit(col, dim: int) -> np.ndarray:
     x = np.asarray(col.flatten(), dtype=np.float64).reshape(-1, dim)
@@ -125,18 +140,44 @@ def _usable(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
             .filter(~bad).filter(some))
 
 
+def _step(visits: np.ndarray) -> np.ndarray:
+    """Numbers rounded up to steps of a tenth, so that few differ."""
+    return np.where(visits < 16, visits, np.ceil(1.1 ** np.ceil(np.log(np.maximum(visits, 1)) / np.log(1.1) - 1e-9))).astype(np.int64)
+
+
+def _partners(q: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of q and unit vectors at the threshold's cosine to them."""
+    rng = np.random.default_rng(7)
+    at = np.repeat(np.arange(len(q)), PARTNERS)
+    away = rng.normal(size=(len(at), q.shape[1]))
+    away -= (away * q[at]).sum(axis=1)[:, None] * q[at]
+    away /= np.maximum(np.sqrt((away * away).sum(axis=1)), 1e-300)[:, None]
+    return at, threshold * q[at] + math.sqrt(max(0.0, 1 - threshold * threshold)) * away
+
+
+def _enough(query: np.ndarray, need: np.ndarray, n: np.ndarray, recall: float) -> int:
+    """The smallest number of visits that hold the target share of links,
+    each query counting alike. (query, need, n): links met at that visit."""
+    if not len(query):
+        return LEAST_VISITS
+    weight = n / np.bincount(query, weights=n)[query]
+    order = np.argsort(need, kind="stable")
+    share = np.cumsum(weight[order]) / len(np.unique(query))
+    return int(need[order][min(np.searchsorted(share, recall - 1e-12), len(order) - 1)])
+
+
 def _visits(classes: DataFrame, index: MultiIndex, queries: list, dim: int, threshold: float,
             recall: float) -> int:
-    """Cells to visit so that the sample's links are found with the target recall."""
-    if not queries:
-        return LEAST_VISITS
+    """Cells to visit so that links, and vectors at the threshold's distance,
+    are found with the target recall."""
+    grid = len(index.books[0]) * len(index.books[1])
     labels = np.array([str(r["label"]) for r in queries])
     q = _unit(_rows(queries), dim)
     ids = np.array([r["id"] for r in queries], dtype=np.int64)
-    order = index.traversals(q, MOST_VISITS)
+    at, made = _partners(q, threshold)
+    made_need = _step(index.visits_to(q[at], index.cells(made)))
 
     def ranks(batches):
-        count = np.zeros(MOST_VISITS + 1, np.int64)
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
                 part = batch.slice(lo, 4096)
@@ -146,21 +187,16 @@ def _visits(classes: DataFrame, index: MultiIndex, queries: list, dim: int, thre
                 hit &= ids[:, None] != np.asarray(part.column("id"))[None, :]
                 i, j = np.nonzero(hit)
                 if len(i):
-                    met = order[i] == index.cells(x)[j][:, None]
-                    at = np.where(met.any(axis=1), met.argmax(axis=1), MOST_VISITS)
-                    count += np.bincount(at, minlength=MOST_VISITS + 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(MOST_VISITS + 1)), pa.array(count)],
-                                         names=["r", "n"])
+                    met, n = np.unique(np.stack([i, index.cells(x)[j]]), axis=1, return_counts=True)
+                    need = _step(index.visits_to(q[met[0]], met[1]))
+                    yield pa.RecordBatch.from_arrays([pa.array(met[0]), pa.array(need), pa.array(n)],
+                                                     names=["q", "need", "n"])
 
-    count = np.zeros(MOST_VISITS + 1, np.int64)
     text = classes.select("id", F.col("label").cast("string").alias("label"), "v")
-    for r in text.mapInArrow(ranks, "r long, n long").groupBy("r").agg(F.sum("n").alias("n")).collect():
-        count[r["r"]] = r["n"]
-    if not count.sum():
-        return LEAST_VISITS
-    share = np.cumsum(count[:-1]) / count.sum()
-    enough = np.flatnonzero(share >= recall)
-    return max(LEAST_VISITS, int(enough[0]) + 1 if len(enough) else MOST_VISITS)
+    real = text.mapInArrow(ranks, "q long, need long, n long").groupBy("q", "need").agg(F.sum("n").alias("n")).collect()
+    real = np.array([tuple(r) for r in real], dtype=np.int64).reshape(-1, 3)
+    needed = max(_enough(*real.T, recall), _enough(at, made_need, np.ones(len(at)), recall))
+    return min(max(LEAST_VISITS, needed), grid)
 
 
 def _forest(i: np.ndarray, j: np.ndarray, a: np.ndarray, b: np.ndarray):
@@ -245,8 +281,9 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
 
     def place(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
+            step = max(1, min(2048, CHUNK // visits))
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
                 u = _unit(part.column("v"), dim)
                 trip = index.traversals(u, visits)
                 trip = np.pad(trip, ((0, 0), (0, visits - trip.shape[1])), constant_values=-1)
@@ -261,7 +298,9 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     placed = classes.select("id", "m", "label", "v").mapInArrow(
         place, "id long, m long, label string, own long, trip array<long>, v array<double>")
     data = _blocks(placed.withColumn("cell", F.col("own")), BLOCK, visits)
-    asked = _blocks(placed.withColumn("cell", F.explode("trip")).filter("cell >= 0"), BLOCK, visits)
+    # only the data's side needs the cells that it visits itself
+    asked = placed.withColumn("cell", F.explode("trip")).filter("cell >= 0")
+    asked = _blocks(asked.withColumn("trip", F.array().cast("array<long>")), BLOCK, 0)
 
     def solve(batches):
         for batch in batches:
@@ -277,7 +316,9 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
                     continue
                 links = np.zeros(len(qi), np.int64)
                 np.add.at(links, i, dm[j])
-                unseen = ~(trip[j] == qo[i][:, None]).any(axis=1)   # the other does not visit back
+                owns, own = np.unique(qo, return_inverse=True)
+                back_to = np.array([(trip == c).any(axis=1) for c in owns])
+                unseen = ~back_to[own[i], j]            # the other does not visit back
                 back = np.zeros(len(di), np.int64)
                 np.add.at(back, j[unseen], qm[i[unseen]])
                 s, t = links > 0, back > 0

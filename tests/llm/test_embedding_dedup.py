@@ -115,3 +115,31 @@ def test_traversal_is_in_order_of_distance():
     got = np.take_along_axis(total, index.traversals(x, 10), axis=1)
     assert np.allclose(got, np.sort(total, axis=1)[:, :10])
     assert (index.traversals(x, 1)[:, 0] == index.cells(x)).all()
+
+
+def partner(rng, x, cosine):
+    away = rng.normal(size=len(x))
+    away -= away @ x * x
+    return cosine * x + math.sqrt(1 - cosine * cosine) * away / np.linalg.norm(away)
+
+
+def recall_of_pairs(spark, hot):
+    """Share of 100 pairs just over the threshold that are found among 3000
+    vectors without links and a group of ``hot`` near copies."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000 + hot, 64))
+    x[3000:] = rng.normal(size=64) + rng.normal(size=(hot, 64)) * 0.01
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    rows += [(10_000 + i, partner(rng, x[i], 0.9305).tolist(), 1) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.component_id for r in embedding_dedup.near_duplicates(df, per_cell=4).collect()}
+    return sum(got[10_000 + i] == i for i in range(100)) / 100
+
+
+def test_recall_of_rare_links(spark):
+    assert recall_of_pairs(spark, 0) >= 0.97
+
+
+def test_recall_of_pairs_beside_a_hot_group(spark):
+    assert recall_of_pairs(spark, 1500) >= 0.97
