@@ -163,25 +163,31 @@ def deduplicate_archives(spark: SparkSession, src: str, dst: str, order,
     record's headers; the record with the largest value is the original.
 
     Only headers are shuffled by digest. The decisions then meet the records
-    by record id. A revisit whose original is in none of the archives keeps
+    by record id and digest, so records that share an id are each decided by
+    their own payload; responses equal in both stay as they are, both the
+    original. A revisit whose original is in none of the archives keeps
     its reference. Empty archives give empty archives.
     """
     heads = read_archives(spark, src, payloads=False).withColumn("order_key", order)
-    decided = resolve_revisits(heads).select("record_id", "original_id")
-    keep = F.col("record_id") == F.col("original_id")
+    decided = resolve_revisits(heads).select(
+        F.col("record_id").alias("_id"), F.col("payload_digest").alias("_digest"), "original_id").distinct()
+    met = (F.col("record_id") == F.col("_id")) & F.col("payload_digest").eqNullSafe(F.col("_digest"))
+    keep = (F.col("record_type") == "response") & F.col("original_id").eqNullSafe(F.col("record_id"))
     kind = F.when(keep, F.lit("response")) \
         .when(F.col("original_id").isNotNull(), F.lit("revisit")).otherwise(F.col("record_type"))
-    out = (read_archives(spark, src).join(decided, "record_id")
-           .withColumn("record_type", kind)
-           .withColumn("payload", F.when(F.col("record_type") == "response", F.col("payload")))
+    out = (read_archives(spark, src).join(decided, met)
            .withColumn("refers_to_id", F.when(keep, F.lit(None).cast("string"))
-                       .otherwise(F.coalesce("original_id", "refers_to_id"))))
+                       .otherwise(F.coalesce("original_id", "refers_to_id")))
+           .withColumn("record_type", kind)
+           .withColumn("payload", F.when(F.col("record_type") == "response", F.col("payload"))))
     write_archives(out, dst, records_per_file)
 
 
 def page_records(pages: DataFrame) -> DataFrame:
     """One response record per page; the record id carries the page id, a
-    NULL html is an empty payload. Other columns of ``pages`` are ignored."""
+    NULL html is an empty payload. Pages that share an id share the record id
+    and are told apart by their payload's digest; a NULL page id makes a NULL
+    record id, which no archive takes back. Other columns of ``pages`` are ignored."""
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit("").cast("binary"))
     return pages.select(
         F.concat(F.lit("urn:page:"), F.col("page_id").cast("string")).alias("record_id"),

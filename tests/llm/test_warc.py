@@ -76,3 +76,17 @@ def test_query_equals_sql(spark, tables):
     want = {dict(zip(cols, r))["page_id"]: dict(zip(cols, r)) for r in rel.fetchall()}
     got = queries.op2_warc_revisit(spark, tables).collect()
     assert len(got) == len(want) and all(want[r.page_id] == r.asDict() for r in got)
+
+
+def test_pages_that_share_an_id(spark):
+    """Each record is decided by its own payload, and is one record."""
+    rows = [(1, "u", "a"), (1, "u", "b"), (2, "u", "a"), (3, "u", "c"), (3, "u", "c"), (0, "u", "b")]
+    src, dst = (tempfile.mkdtemp(prefix="warc-") + "/x" for _ in range(2))
+    warc.write_archives(warc.page_records(spark.createDataFrame(rows, "page_id long, url string, html string")), src)
+    warc.deduplicate_archives(spark, src, dst, warc.page_id_of(F.col("record_id")))
+    digest = {base64.b32encode(hashlib.sha1(x.encode()).digest()).decode(): x for x in "abc"}
+    got = sorted((int(r.record_id[9:]), digest[r.payload_digest], r.record_type, r.refers_to_id or "",
+                  bytes(r.payload).decode()) for r in warc.read_archives(spark, dst).collect())
+    assert got == [(0, "b", "revisit", "urn:page:1", ""), (1, "a", "revisit", "urn:page:2", ""),
+                   (1, "b", "response", "", "b"), (2, "a", "response", "", "a"),
+                   (3, "c", "response", "", "c"), (3, "c", "response", "", "c")]
