@@ -188,6 +188,13 @@ def _slots(spark, quotas: list[int], blocks: list[int], shard: int, seed: int) -
         draw, "shard long, slot long, _rank int, epoch long, block long")
 
 
+def _quota(size: int, target: float, block: int, cap: float = CAP) -> tuple[int, int]:
+    """(blocks, slots) of a source: as many slots as its blocks' mean length
+    asks for (the last block is shorter), and no more than the cap allows."""
+    blocks = math.ceil(size / block)
+    return blocks, min(math.floor(target * blocks / size + 0.5), int(cap * blocks)) if size else 0
+
+
 def _pieces(pos: DataFrame, block: int) -> DataFrame:
     """The blocks a document lies in: (_rank, block, _start, piece_first, piece_words)."""
     end = F.col("_start") + F.col("size")
@@ -213,7 +220,7 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEE
     of size over 0. ``salt`` are more columns that tell equal ids apart.
     """
     targets = cut(source_targets(docs, share, cap, weights))
-    quota = [(math.ceil(r["source_size"] / block), round(r["target"] / block))
+    quota = [_quota(r["source_size"], r["target"], block, cap)
              for r in targets.orderBy("rank").select("source_size", "target").collect()]
     pos = cut(_positions(docs, targets, salt))
     slots = _slots(docs.sparkSession, [q for _, q in quota], [n for n, _ in quota], shard, seed)

@@ -128,3 +128,18 @@ def test_query(spark, tables):
         assert math.isclose(r.target, want[source[r.doc_id]], rel_tol=1e-9) and r.taken <= 2 * r.size
         taken[source[r.doc_id]] += r.taken
     assert all(abs(taken[s] - want[s]) <= 0.03 * want[s] for s in sizes)
+
+
+def test_small_sources_reach_their_targets(docs):
+    """Sources of a short block or two, relative to their targets."""
+    tail = {f"s{n}": n for n in (1, 10, 15, 31, 40, 65, 130)}
+    rows = [(i, " ".join(["w"] * n), "en", s) for i, (s, n) in enumerate(tail.items())]
+    rows += [(100 + i, " ".join(["w"] * 5000), "en", "a") for i in range(4)]
+    got = [r for r in mixing.taken(words_of(docs(rows))).collect() if r.doc_id < 100]
+    assert len(got) == len(tail)
+    for r in got:
+        assert r.target == 2 * r.size == r.taken
+    for size in (10, 15, 31, 40, 65, 130, 1000):
+        for target in (size / 2, size, 1.5 * size, 2 * size):
+            blocks, slots = mixing._quota(size, target, 64)
+            assert abs(slots * size / blocks - target) <= size / blocks / 2 + 1e-9
