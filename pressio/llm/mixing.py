@@ -37,9 +37,11 @@ BLOCK = 64
 SHARD = 1024
 BUCKETS = 1024
 SEED = 20_240_607
-# Above this many slots a range is halved in proportion: the drawn split
-# would differ from it by less than one part in ten thousand.
+# Above this many slots a range is drawn by this module, below by numpy's
+# generator, which takes no more than a thousand million.
 DRAWN_UP_TO = 500_000_000
+# Constants of the ratio of uniforms: 2 sqrt(2 / e) and 3 - 2 sqrt(3 / e).
+HAT = 1.7155277699214135, 0.8989161620588988
 
 
 def source_targets(sizes: DataFrame, share: float = SHARE, cap: float = CAP,
@@ -125,6 +127,52 @@ def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _log_factorials(n: int, d: int) -> float:
+    """log (n + d)! - log n! without the part d log(n + 1)."""
+    z = n + 1
+    if min(z, z + d) < 10_000:
+        return math.lgamma(z + d) - math.lgamma(z) - d * math.log(z)
+    return (z + d - 0.5) * math.log1p(d / z) - d + (1 / (z + d) - 1 / z) / 12
+
+
+def _hypergeometric(rng, good: int, bad: int, sample: int) -> int:
+    """How many of ``sample`` draws without replacement are good, for numbers
+    of any size: rejection from a ratio of uniforms (Stadlober's HRUA), with
+    probabilities relative to the mode, where large terms cancel."""
+    n = good + bad
+    low, high = max(0, sample - bad), min(good, sample)
+    if low == high:
+        return low
+    mode = min(max((sample + 1) * (good + 1) // (n + 2), low), high)
+    at = (mode, good - mode, sample - mode, bad - sample + mode)
+    sign = (1, -1, -1, 1)
+    # the sum of d log(n + 1) over the four: nearly nothing at the mode
+    slope = sum(s * math.log(x + 1) for s, x in zip(sign, at))
+    mean = sample * good / n
+    spread = math.sqrt((n - sample) * (sample / n) * (good / n) * (bad / max(n - 1, 1)) + 0.5)
+    width = HAT[0] * spread + HAT[1]
+    while True:
+        u, v = 1 - rng.random(), rng.random()
+        x = math.floor(mean + 0.5 + width * (v - 0.5) / u)
+        if low <= x <= high:
+            d = x - mode
+            if 2 * math.log(u) <= -d * slope - sum(_log_factorials(i, s * d) for s, i in zip(sign, at)):
+                return x
+
+
+def _drawn(rng, q: np.ndarray, left: int) -> np.ndarray:
+    """Counts per source of ``left`` slots drawn without replacement from q."""
+    n = int(q.sum())
+    if n <= DRAWN_UP_TO:
+        return rng.multivariate_hypergeometric(q, left, method="marginals")
+    out = np.zeros(len(q), np.int64)
+    for i, good in enumerate(map(int, q)):
+        n -= good
+        out[i] = _hypergeometric(rng, good, n, left)
+        left -= int(out[i])
+    return out
+
+
 def shard_counts(quotas: list[int], lo: int, hi: int, shard: int = SHARD, seed: int = SEED):
     """(shard, slots per source, first slot per source) for shards lo..hi-1."""
     total = sum(quotas)
@@ -137,16 +185,7 @@ def shard_counts(quotas: list[int], lo: int, hi: int, shard: int = SHARD, seed:
             out.append((a, q, start))
             return
         m = (a + b) // 2
-        left, n = (m - a) * shard, int(q.sum())
-        if n <= DRAWN_UP_TO:
-            rng = np.random.default_rng((seed, a, b))
-            c = rng.multivariate_hypergeometric(q, left, method="marginals")
-        else:
-            edge = np.concatenate([[0], np.cumsum(q)])
-            c = np.diff(np.array([int(e) * left // n for e in edge], dtype=np.int64))
-            c = np.minimum(c, q)
-            for i in np.argsort(c - q, kind="stable")[:left - int(c.sum())]:
-                c[i] += 1
+        c = _drawn(np.random.default_rng((seed, a, b)), q, (m - a) * shard)
         walk(a, m, c, start)
         walk(m, b, q - c, start + c)
 

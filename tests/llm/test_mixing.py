@@ -143,3 +143,24 @@ def test_small_sources_reach_their_targets(docs):
         for target in (size / 2, size, 1.5 * size, 2 * size):
             blocks, slots = mixing._quota(size, target, 64)
             assert abs(slots * size / blocks - target) <= size / blocks / 2 + 1e-9
+
+
+def test_large_draws_follow_the_distribution():
+    """Against exact probabilities, and against mean and spread of large numbers."""
+    rng = np.random.default_rng(1)
+    for good, bad, sample in ((7, 12, 9), (3, 40, 20), (300, 200, 250)):
+        got = np.bincount([mixing._hypergeometric(rng, good, bad, sample) for _ in range(20_000)], minlength=good + 1)
+        want = [math.comb(good, k) * math.comb(bad, sample - k) / math.comb(good + bad, sample) if k <= sample else 0
+                for k in range(good + 1)]
+        assert np.abs(np.cumsum(got) / 20_000 - np.cumsum(want)).max() < 0.015
+    good, bad, sample = 3 * 10**12, 5 * 10**12, 4 * 10**12
+    z = (np.array([mixing._hypergeometric(rng, good, bad, sample) for _ in range(4000)]) - sample * 3 / 8) \
+        / math.sqrt(sample / 2 * (3 / 8) * (5 / 8))
+    assert abs(z.mean()) < 0.08 and abs(z.std() - 1) < 0.05
+
+
+def test_upper_levels_are_drawn():
+    """A range of more slots than numpy draws is not split in proportion."""
+    quotas = [600_000_000, 400_000_000]
+    firsts = {int(mixing.shard_counts(quotas, 0, 1, 500_000_000, seed)[0][1][0]) for seed in range(5)}
+    assert len(firsts) == 5 and all(abs(x - 300_000_000) < 6 * math.sqrt(500_000_000 * 0.12) for x in firsts)
