@@ -10,8 +10,10 @@ Data cells whose centre, radius and longest vector rule the group out
 are skipped as a whole. Groups are solved locally, block by block, and the
 blocks' best are merged.
 
-All scores are integers below 2^53 and exact in double precision; bounds are
-widened by a relative 1e-9, which can only replicate more.
+Scores below 2^53 are exact in double precision; bounds are widened by a
+relative 1e-9, which can only replicate more. Vectors whose components could
+go past that are left out of this and meet every vector in blocks of their
+own, scored as integers. A score in the result that no long holds fails the job.
 
 Defined cases: vectors that are NULL, empty, of another length than most, or
 hold NULL or non-finite components, and rows without an id, take no part;
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PIVOTS = 64
@@ -42,8 +44,16 @@ def quantised(df: DataFrame, key: str, vector: str, scale: int = SCALE) -> DataF
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = (df.select(F.col(key).cast("long").alias("id"), v.alias("_v"), bad.alias("_bad"))
             .filter("id is not null and _v is not null and size(_v) > 0 and not _bad"))
-    return rows.select("id", F.transform("_v", lambda x: F.floor(x * F.lit(float(scale))).cast("double"))
-                       .alias("v"))
+    def floor(x):
+        # from 2^53 on doubles are whole, and may be past a long
+        return F.when(F.abs(x) >= EXACT, x).otherwise(F.floor(x).cast("double"))
+    return rows.select("id", F.transform("_v", lambda x: floor(x * F.lit(float(scale)))).alias("v"))
+
+
+def _wide(v: str = "v") -> Column:
+    """Whether doubles may not hold the vector's scores with such as it."""
+    most = F.array_max(F.transform(v, F.abs))
+    return most * most * F.size(v) >= F.lit(EXACT)
 
 
 def _matrix(col, dim: int) -> np.ndarray:
@@ -73,6 +83,63 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 5, pivots: int = PIVOTS)
         return data.sparkSession.createDataFrame([], empty)
     dim = lengths["n"]
     data, queries = data.filter(F.size("v") == dim), queries.filter(F.size("v") == dim)
+    if not data.filter(_wide()).take(1) and not queries.filter(_wide()).take(1):
+        return _ranked(_pruned(queries, data, k, pivots, dim), k)
+    plain, far = data.filter(~_wide()), data.filter(_wide())
+    best = (_exact(queries.filter(_wide()), data, k, dim)
+            .unionByName(_exact(queries.filter(~_wide()), far, k, dim)))
+    if plain.take(1):
+        best = best.unionByName(_pruned(queries.filter(~_wide()), plain, k, pivots, dim))
+    fits = F.when(F.col("score").isNull(), F.raise_error(F.lit("scores too large for a long")).cast("long"))
+    return _ranked(best, k).withColumn("score", fits.otherwise(F.col("score")))
+
+
+def _ranked(best: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+
+
+def _exact(queries: DataFrame, data: DataFrame, k: int, dim: int) -> DataFrame:
+    """(query_id, vec_id, score) of the k best in each block of data, by
+    integers of any length; NULL where a long is too small for a score."""
+    def packed(size):
+        def pack(batches):
+            for batch in batches:
+                x, ids = _matrix(batch.column("v"), dim), np.asarray(batch.column("id"))
+                for a in range(0, len(ids), size):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([np.ascontiguousarray(c[a:a + size]).tobytes()], pa.binary()) for c in (ids, x)],
+                        names=["ids", "m"])
+        return pack
+
+    def solve(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                qi, di = (np.frombuffer(r[c], np.int64) for c in ("qids", "ids"))
+                q, d = (np.frombuffer(r[c], np.float64).reshape(-1, dim) for c in ("qm", "m"))
+                kind = np.int64 if np.abs(q).max() * np.abs(d).max() * dim < 2.0 ** 62 else object
+                q, d = ([[int(x) for x in v] for v in m.tolist()] for m in (q, d))
+                s = (np.array(q, kind) @ np.array(d, kind).T).tolist()
+                out = []
+                for i, row in zip(qi.tolist(), s):
+                    met = sorted((-x, j) for x, j in zip(row, di.tolist()) if j != i)[:k]
+                    if met and -met[0][0] >= 1 << 63:
+                        raise ValueError("scores too large for a long")
+                    out += [(i, j, -x if x <= 1 << 63 else None) for x, j in met]
+                yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(3)],
+                                                 names=["query_id", "vec_id", "score"])
+
+    kind = "ids binary, m binary"
+    qb = queries.mapInArrow(packed(QUERY_BLOCK), kind).toDF("qids", "qm")
+    return qb.crossJoin(data.mapInArrow(packed(DATA_BLOCK), kind)).mapInArrow(
+        solve, "query_id long, vec_id long, score long")
+
+
+def _pruned(queries: DataFrame, data: DataFrame, k: int, pivots: int, dim: int) -> DataFrame:
+    """(query_id, vec_id, score) of the k best of each query and more, of
+    vectors whose scores doubles hold exactly."""
+    empty = "query_id long, vec_id long, score long"
     p = _pivots(data, dim, pivots)
 
     # one row per pivot: the group's radius
@@ -104,8 +171,6 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 5, pivots: int = PIVOTS)
             x = _matrix(batch.column("v"), dim)
             if not len(x):
                 continue
-            if np.abs(x).max() ** 2 * dim >= EXACT:
-                raise ValueError("components too large for exact scores")
             norm = np.sqrt((x * x).sum(axis=1))
             c = _nearest(x, p)
             np.maximum.at(radius, c, np.sqrt(((x - p[c]) ** 2).sum(axis=1)))
@@ -143,8 +208,6 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 5, pivots: int = PIVOTS)
         held: dict[int, list] = {}
         for batch in batches:
             x, ids = _matrix(batch.column("v"), dim), np.asarray(batch.column("id"))
-            if len(x) and np.abs(x).max() ** 2 * dim >= EXACT:
-                raise ValueError("components too large for exact scores")
             for g, at in groups_of(x):
                 if len(at):
                     held.setdefault(g, []).append((ids[at], x[at].astype(np.int32)))
@@ -203,7 +266,4 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 5, pivots: int = PIVOTS)
     # merge: the sizes of blocks say nothing to the planner, and a hot group's
     # side is split; then the pairs of blocks are dealt out evenly
     met = qb.hint("merge").join(db, "g")
-    best = met.mapInArrow(solve, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+    return met.mapInArrow(solve, "query_id long, vec_id long, score long")

@@ -72,3 +72,18 @@ def test_query_equals_sql(spark, tables):
                   for r in rel.fetchall())
     got = queries.op10_knn_join(spark, tables).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == want
+
+
+def test_large_vectors_are_scored_with_integers(spark, rows):
+    """Scores past 2^53, of queries and of data, beside all the others."""
+    big = [(500, [1e6 + 0.5, -3.0, 2.0, 1.0, 0.25, 7.0]), (501, [3e6, 1.0, 0.0, 0.0, 0.0, -2.5]),
+           (502, [-2e5, 9e5, 1.0, 2.0, 3.0, 4.0]), (503, [3e6 + 1 / 256, 1.0, 0.0, 0.0, 0.0, -2.5])]
+    df = spark.createDataFrame(rows + big, KIND).repartition(4)
+    want = brute(rows + big, 5, 3)
+    assert max(s for *_, s in want) > 1 << 53
+    assert run(df) == want
+
+
+def test_only_large_vectors(spark):
+    rows = [(i, [1e5 * (i + 1)] * 6) for i in range(8)]
+    assert run(spark.createDataFrame(rows, KIND)) == brute(rows, 5, 3)
