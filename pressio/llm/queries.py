@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, knn_join, langid, line_dedup, minhash, mixing, quality, suffix_dedup, warc
+from . import (bpe, embedding_dedup, filter_audit, knn_join, langid, line_dedup, line_rules, minhash, mixing, quality,
+               suffix_dedup, turn_repair, warc)
 from ._common import shared_folder, table, word_count
 
 
@@ -89,3 +90,21 @@ def op5_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every line of every document, its group, and whether it stays."""
     return line_dedup.judged_lines(table(spark, sf, "documents"), every=True)
+
+
+def op11_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's base counts, and whether line-first cleaning keeps it."""
+    found = line_rules.judged(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *line_rules.RESULT)
+
+
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What five filters remove from each source, in all orders of them."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    return filter_audit.audit(filter_audit.patterns(docs, table(spark, sf, "labels")))
+
+
+def op12_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Damage every conversation, and find the cheapest repair of each."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.report(turns, turn_repair.damaged(turns))

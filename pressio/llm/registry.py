@@ -16,6 +16,9 @@ QUERIES = {fn.__name__: fn for fn in (
     Q.op8_mixing,
     Q.op9_suffix_dedup,
     Q.op10_knn_join,
+    Q.op11_quality_rules,
+    Q.op12_turn_repair,
+    Q.op13_filter_audit,
 )}
 
 
