@@ -6,10 +6,10 @@ has. A and B are decided by a sparse document-term matrix (:func:`term_matrix`):
 
 1. texts are taken in shards of about ``SHARD`` bytes; each becomes the rows
    of a CSR matrix over the shard's own words, which are listed once;
-2. the words of all shards are made distinct and numbered 0, 1, .. (the
+2. the lists of all shards are sorted by word and numbered 0, 1, .. (the
    dictionary: numbered within partitions, whose sizes give the offsets);
-3. each shard's word list meets the dictionary, and the shard's columns are
-   renamed by it: CSR shards over one vocabulary.
+3. each shard gets the numbers of its words back, packed by partition, and its
+   columns are renamed by them: CSR shards over one vocabulary.
 
 A row's sum is the document's number of words, its stored entries are the
 distinct ones. The remaining flags are attached to the rows, and documents are
@@ -43,13 +43,14 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from ._common import chunks, cut, drop_folder, shared_folder
 
-SHARD = 1 << 24
+SHARD = 1 << 23
+PACK = 1 << 20                    # words of a partition numbered before they are packed by shard
 FILTERS = "ABCDE"
 LEAST_WORDS = 50
 LEAST_DISTINCT = 65
 MOST_CAPITALS = 5
-MARKUP = "#$%&*|"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+MARKUP = "[#$%&*|]"
+CAPITALS = "[A-Z]"
 
 
 def _lists(values, offsets=None) -> pa.Array:
@@ -85,13 +86,54 @@ def _local_shards(batches):
             nth += 1
 
 
+def _numbered(batches):
+    """Numbers of sorted words, from 0 in each partition: (shard, at, id) of a
+    shard's words packed together, and the words in the order of their numbers."""
+    from pyspark import TaskContext
+
+    part, last, n, held, size = TaskContext.get().partitionId(), None, 0, [], 0
+
+    def rows(shards, ats, ids, first, words):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part] * len(shards), pa.int32()), pa.array(shards, pa.int64()), pa.array(ats, pa.binary()),
+             pa.array(ids, pa.binary()), pa.array(first, pa.int64()), pa.array(words, pa.list_(pa.binary()))],
+            ["part", "shard", "ats", "ids", "first", "words"])
+
+    def packed():
+        shard, at, ids = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(shard, kind="stable")
+        shard, at, ids = shard[order], at[order].astype(np.int32), ids[order].astype(np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1), len(shard)]
+        yield rows([shard[i] for i in cuts[:-1]], [at[i:j].tobytes() for i, j in zip(cuts, cuts[1:])],
+                   [ids[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], [None] * (len(cuts) - 1), [None] * (len(cuts) - 1))
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        words = batch.column("word")
+        new = np.ones(len(words), bool)
+        new[1:] = np.asarray(pa.compute.not_equal(words.slice(1), words.slice(0, len(words) - 1)))
+        new[0] = words[0].as_py() != last
+        held.append((np.asarray(batch.column("shard")), np.asarray(batch.column("at")), n - 1 + np.cumsum(new)))
+        if new.any():
+            yield rows([None], [None], [None], [n], [words.filter(pa.array(new)).to_pylist()])
+        last, n, size = words[-1].as_py(), n + int(new.sum()), size + len(words)
+        if size >= PACK:
+            yield from packed()
+            held, size = [], 0
+    if held:
+        yield from packed()
+
+
 def _renamed(batches):
     """Shards with the columns that the dictionary gives, in their order."""
     for batch in batches:
         for i in range(batch.num_rows):
             ends, columns, counts = (np.asarray(batch.column(c)[i].values) for c in ("ends", "columns", "counts"))
-            ids = batch.column("ids")[i].values
-            named = (np.asarray(ids, np.int64) if ids is not None else np.zeros(0, np.int64))[columns]
+            pieces = batch.column("pieces")[i].as_py() or []
+            ids = np.zeros(sum(len(x["ids"]) for x in pieces) // 8, np.int64)
+            for x in pieces:
+                ids[np.frombuffer(x["ats"], np.int32)] = np.frombuffer(x["ids"], np.int64) + x["shift"]
+            named = ids[columns]
             order = np.lexsort((named, np.repeat(np.arange(len(ends) - 1), np.diff(ends))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("shard").slice(i, 1), batch.column("rows").slice(i, 1), batch.column("ends").slice(i, 1),
@@ -120,20 +162,6 @@ def _kind(row: StructType, columns, words: bool) -> StructType:
     return StructType([*fields, StructField("words", many(BinaryType()))] if words else fields)
 
 
-def dictionary_of(words: DataFrame) -> DataFrame:
-    """(word, id): the distinct words, numbered from 0 without gaps."""
-    spark = words.sparkSession
-    place = F.monotonically_increasing_id()
-    found = cut(words.select("word").distinct().select("word", F.spark_partition_id().alias("part"), place.alias("nth")))
-    starts, total = [], 0
-    for r in found.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("nth").alias("first")).orderBy("part").collect():
-        starts.append((r["part"], total - r["first"]))
-        total += r["n"]
-    # one row a partition
-    shift = spark.createDataFrame(starts, "part int, shift long")
-    return found.join(F.broadcast(shift), "part").select("word", (F.col("nth") + F.col("shift")).alias("id"))
-
-
 def term_matrix(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame, str]:
     """CSR shards, dictionary and the folder that holds what they are made of.
 
@@ -148,10 +176,21 @@ def term_matrix(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFra
     path = shared_folder(spark, "term-shards")
     given.mapInArrow(_local_shards, _kind(row, IntegerType(), True)).write.option("compression", "zstd").parquet(path)
     local = spark.read.parquet(path)
-    dictionary = dictionary_of(local.select(F.explode("words").alias("word")))
     listed = local.select("shard", F.posexplode("words").alias("at", "word"))
-    names = (listed.join(dictionary, "word").groupBy("shard")
-             .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "id"))), lambda x: x["id"]).alias("ids")))
+    numbered = cut(listed.repartition("word").sortWithinPartitions("word").mapInArrow(
+        _numbered, "part int, shard long, ats binary, ids binary, first long, words array<binary>"))
+    new = numbered.filter("shard is null").select("part", "first", "words")
+    shifts, total = [], 0
+    for r in new.groupBy("part").agg(F.sum(F.size("words")).alias("n")).orderBy("part").collect():
+        shifts.append((r["part"], total))
+        total += r["n"]
+    # one row a partition
+    shift = F.broadcast(spark.createDataFrame(shifts, "part int, shift long"))
+    dictionary = new.join(shift, "part").select(
+        F.posexplode("words").alias("at", "word"), (F.col("first") + F.col("shift")).alias("first")).select(
+        "word", (F.col("first") + F.col("at")).alias("id"))
+    names = (numbered.filter("shard is not null").join(shift, "part").groupBy("shard")
+             .agg(F.collect_list(F.struct("ats", "ids", "shift")).alias("pieces")))
     shards = (local.drop("words").join(names, "shard", "left")
               .mapInArrow(_renamed, _kind(row, LongType(), False)))
     return shards, dictionary, path
@@ -172,11 +211,10 @@ def failed_filters(docs: DataFrame, key: str = "doc_id", text: str = "text", par
     """(doc_id, part, failed, n): how many rows of an id and part fail just
     the filters whose bits (A: 1, B: 2, ..) are set in ``failed``."""
     t = F.coalesce(text, F.lit(""))
-    capitals = F.length(t) - F.length(F.translate(t, CAPITALS, ""))
-    signs = F.length(t) - F.length(F.translate(t, MARKUP, ""))
+    capitals = F.regexp_count(t, F.lit(CAPITALS))
     given = docs.select(
         F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
-        (_bit(100 * capitals > MOST_CAPITALS * F.length(t), "C") + _bit(signs > 0, "D")).alias("cd"),
+        (_bit(100 * capitals > MOST_CAPITALS * F.length(t), "C") + _bit(t.rlike(MARKUP), "D")).alias("cd"),
         F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(1), t).alias("t2"), t.alias("text"))
     shards, _, path = term_matrix(given)
     a = F.col("n_words") < LEAST_WORDS

@@ -7,7 +7,8 @@ removed, and a document that loses too much of its text by that is rejected.
   question mark or an ellipsis, closing quotes and brackets aside, and fewer
   than ``DECORATED`` per cent of its words carry runs of signs ("buy!! now$$$");
 * navigation: a line is no chain of entries (``CHAIN`` separators or more, one
-  to every ``ENTRY`` words at least) and does not consist of menu words alone;
+  to every ``ENTRY`` words at least) and, up to ``MENU_CHARS`` characters, does
+  not consist of menu words alone;
 * boilerplate: a line holds no phrase of ``BOILERPLATE`` and no brace.
 
 Words are ``[^\\x20\\x09-\\x0D]+``, lines what lies between line feeds. A line
@@ -37,17 +38,19 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._common import WORD
+
 LEAST_WORDS = 50
 MOST_REPEATED = 50
 MOST_LOST = 30
 DECORATED = 30
 CHAIN, ENTRY = 3, 4
-SYMBOLS = "#*$%&|<>"
-WHITE = " \t\n\x0b\f\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+MENU_CHARS = 200
+SYMBOLS = "[#*$%&|<>]"
+WHITE = r"[\x20\x09-\x0D]+"
 
-# Regular expressions in the common part of Java's and RE2's syntax, on lines
-# in which A-Z are lower-cased.
+# Regular expressions in the common part of Java's and RE2's syntax; MENU and
+# BOILERPLATE hold for A-Z as for a-z (as Java takes "(?i)").
 ENDS = r"""[.!?…。！？]["'”’»)\]]*[\x20\x09-\x0D]*\z"""
 RUNS = r"[!?#*$%&|<>]{2,}"
 SEPARATORS = r"(^|[\x20\x09-\x0D])[|>»›·•]+([\x20\x09-\x0D]|\z)"
@@ -60,22 +63,24 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "
 RESULT = [*BASE, "n_lines", "n_removed_lines", "lost_chars", "kept"]
 
 
-def line_fails(line: Column, words: Column) -> dict[str, Column]:
-    """What each rule says of a line of ``words`` words: true where it fails."""
-    low = F.translate(line, UPPER, LOWER)
-    decorated = 100 * F.regexp_count(line, F.lit(RUNS)) >= DECORATED * words
+def line_fails(line: Column) -> dict[str, Column]:
+    """What each rule says of a line with a word: true where it fails."""
+    words = F.regexp_count(line, F.lit(WORD))
+    decorated = F.regexp_count(line, F.lit(RUNS))
     between = F.regexp_count(line, F.lit(SEPARATORS))
-    return {"punctuation": ~line.rlike(ENDS) | decorated,
-            "navigation": ((between >= CHAIN) & (ENTRY * between >= words)) | low.rlike(MENU),
-            "boilerplate": low.rlike(BOILERPLATE)}
+    # words are counted only in lines with such signs
+    return {"punctuation": ~line.rlike(ENDS) | ((decorated > 0) & (100 * decorated >= DECORATED * words)),
+            "navigation": ((between >= CHAIN) & (ENTRY * between >= words))
+                          | ((F.length(line) <= MENU_CHARS) & line.rlike("(?i)" + MENU)),
+            "boilerplate": line.rlike("(?i)" + BOILERPLATE)}
 
 
-def _words(text: Column) -> Column:
-    return F.array_remove(F.split(F.translate(text, WHITE, " " * len(WHITE)), " "), "")
+def _has_word(line: Column) -> Column:
+    return line.rlike(WORD)
 
 
-def _without(text: Column, signs: str) -> Column:
-    return F.length(F.translate(text, signs, ""))
+def _fails(line: Column) -> Column:
+    return reduce(or_, line_fails(line).values())
 
 
 def _repeated(windows: Column) -> Column:
@@ -93,8 +98,8 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     rest = [c for c in docs.columns if c.lower() not in {*RESULT, "clean"}]
     named = docs.select(F.struct(*rest).alias("row"), F.col(text).alias("text0"))
     split = named.select("row", "text0", F.coalesce("text0", F.lit("")).alias("t")).select(
-        "row", "text0", "t", _words(F.col("t")).alias("w"),
-        F.filter(F.split("t", "\n"), lambda x: F.length(F.translate(x, WHITE, "")) > 0).alias("lines"))
+        "row", "text0", "t", F.array_remove(F.split("t", WHITE), "").alias("w"),
+        F.filter(F.split("t", "\n"), _has_word).alias("lines"))
     # a window is a hash of its three words; those beyond the last word are NULL
     hashed = split.select("*", F.when(F.size("w") >= 3, F.transform(
         F.sequence(F.lit(0), F.size("w") - 3),
@@ -108,33 +113,25 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     covered = F.aggregate(
         F.transform("at", lambda x, i: F.least(F.lit(3), F.coalesce(F.get(F.col("at"), i + 1) - x, F.lit(3)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
-    judged_ = F.transform("lines", lambda x: F.struct(
-        reduce(or_, line_fails(x, F.size(_words(x))).values()).alias("fails"),
-        F.length(F.translate(x, WHITE, "")).cast("long").alias("n")))
-    base = starts.select(
+    # a generator of one row: a filter on the results is not evaluated anew below it
+    base = starts.select(F.inline(F.array(F.struct(
         "row", "text0", "t", "lines", F.size("w").cast("long").alias("n_words"),
-        _without(F.col("t"), WHITE).cast("long").alias("word_chars"),
-        (F.length("t") - _without(F.col("t"), SYMBOLS)).cast("long").alias("n_symbols"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        F.regexp_count("t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).alias("n_repeat_words"), judged_.alias("verdicts"))
-    failed = F.filter("verdicts", lambda v: v["fails"])
-    lost = base.select("*", F.size("verdicts").cast("long").alias("n_lines"),
-                       F.size(failed).cast("long").alias("n_removed_lines"),
-                       F.aggregate(failed, F.lit(0).cast("long"), lambda a, v: a + v["n"]).alias("lost_chars"),
+        F.coalesce(covered, F.lit(0)).alias("n_repeat_words"), F.filter("lines", _fails).alias("failed")))))
+    lost = base.select("*", F.size("lines").cast("long").alias("n_lines"),
+                       F.size("failed").cast("long").alias("n_removed_lines"),
+                       F.length(F.regexp_replace(F.array_join("failed", ""), WHITE, "")).cast("long").alias("lost_chars"),
                        ((F.col("n_words") < LEAST_WORDS)
                         | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))).alias("base_failed"))
-    clean = F.array_join(F.filter(F.split("t", "\n"), lambda x: ~_removed(x)), "\n")
+    clean = F.array_join(F.filter(F.split("t", "\n"), lambda x: ~(_has_word(x) & _fails(x))), "\n")
     return lost.select(
         *[F.col("row")[c].alias(c) for c in rest], *[c for c in RESULT if c != "kept"],
         (~F.col("base_failed") & (100 * F.col("lost_chars") <= MOST_LOST * F.col("word_chars"))).alias("kept"),
         F.when(F.col("n_removed_lines") == 0, F.col("text0")).otherwise(clean).alias("clean"))
 
 
-def _removed(line: Column) -> Column:
-    words = F.size(_words(line))
-    return (words > 0) & reduce(or_, line_fails(line, words).values())
-
-
 def clean_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are kept, their text without failed lines; other
     columns as they were."""

@@ -109,7 +109,7 @@ WITH t AS (
     OR 100 * len(regexp_extract_all(x, '[!?#*$%&|<>]{2,}')) >= 30 * len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'))
     OR (len(regexp_extract_all(x, SEPARATORS)) >= 3 AND
         4 * len(regexp_extract_all(x, SEPARATORS)) >= len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')))
-    OR regexp_matches(LOW, MENU) OR regexp_matches(LOW, BOILERPLATE)) AS gone
+    OR (length(x) <= 200 AND regexp_matches(LOW, MENU)) OR regexp_matches(LOW, BOILERPLATE)) AS gone
   FROM w
 ), c AS (
   SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
