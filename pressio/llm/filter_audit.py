@@ -265,12 +265,15 @@ def audit(counts: DataFrame) -> DataFrame:
     own = counts.groupBy("part").agg(
         over(lambda f: n).alias("fails"), over(lambda f: F.when(failed == (1 << f), n)).alias("alone"),
         over(lambda f: share).alias("shares"))
-    steps = F.array(*[F.struct(F.lit("".join(order)).alias("filter_order"), F.lit(k + 1).alias("step"),
-                               F.lit(FILTERS.index(order[k])).alias("f"),
-                               F.lit(sum(1 << FILTERS.index(x) for x in order[:k])).alias("before"),
-                               F.lit(sum(1 << FILTERS.index(x) for x in order[:k + 1])).alias("after"))
-                      for order in permutations(FILTERS) for k in range(len(FILTERS))])
-    each = passing.join(own, "part").select("*", F.explode(steps).alias("s")).select("*", "s.*")
+    listed = ",".join(map("".join, permutations(FILTERS)))
+    each = (passing.join(own, "part")
+            .select("*", F.explode(F.sequence(F.lit(0), F.lit(orders * len(FILTERS) - 1))).alias("q"))
+            .select("*", F.get(F.split(F.lit(listed), ","), F.expr(f"cast(q div {len(FILTERS)} as int)")).alias("filter_order"),
+                    (F.col("q") % len(FILTERS) + 1).alias("step"))
+            .withColumn("f", F.expr(f"instr('{FILTERS}', substring(filter_order, step, 1)) - 1"))
+            .withColumn("before", reduce(add, [F.when(F.instr("filter_order", x) < F.col("step"), 1 << f).otherwise(0)
+                                               for f, x in enumerate(FILTERS)]))
+            .withColumn("after", F.expr("before + shiftleft(1, f)")))
 
     def left(bits, name):
         return F.coalesce(F.try_element_at("left", bits)[name], F.lit(0))
