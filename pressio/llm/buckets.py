@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import cut
@@ -30,9 +30,12 @@ Verify = Callable[[DataFrame], DataFrame]
 
 
 def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify],
-                      percent: int) -> DataFrame:
+                      percent: int, may: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """(node, component) of every node with a link, over members (key, rep, n).
 
+    With ``may``, members have a ``sig`` too, and only pairs whose signatures
+    it passes can be linked: others are ruled out where they meet.
+
     ``n`` is a size of the node; pairs whose smaller size is under
     ``percent`` per cent of the larger cannot be linked. ``prepare`` gets the
     nodes (rep) that share a bucket and returns a function from pairs (a, b)
@@ -42,13 +45,16 @@ def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify]
     def alike(x, y):
         return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
+    if may is None:
+        members, may = members.withColumn("sig", F.lit(0)), lambda x, y: F.lit(True)
     turn = F.xxhash64(F.pmod("key", F.lit(HUBS)), "rep")
-    hubs = (members.groupBy("key").agg(F.min(F.struct(turn.alias("t"), "rep", "n")).alias("h"),
+    hubs = (members.groupBy("key").agg(F.min(F.struct(turn.alias("t"), "rep", "n", "sig")).alias("h"),
                                        F.count(F.lit(1)).alias("c")).filter("c > 1")
-            .select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n")))
+            .select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.sig").alias("hub_sig")))
     shared = cut(members.join(hubs, "key"))
     verify = prepare(shared.select("rep").distinct())
-    pairs = (shared.filter((F.col("rep") != F.col("hub")) & alike(F.col("n"), F.col("hub_n")))
+    pairs = (shared.filter((F.col("rep") != F.col("hub")) & alike(F.col("n"), F.col("hub_n"))
+                           & may(F.col("sig"), F.col("hub_sig")))
              .select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct())
     done = verify(cut(pairs))
     comps = cut(connected_components(done.filter("linked"), "a", "b"))
@@ -70,10 +76,10 @@ def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify]
         now = with_component(open_, "rep", "comp", comps)
         x = now.join(some, ["key", "rep"], "left_semi").select(
             "key", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"),
-            F.col("far").alias("x_far"))
+            F.col("far").alias("x_far"), F.col("sig").alias("x_sig"))
         near = F.coalesce(F.abs(F.col("x_far") - F.col("far")) <= reach, F.lit(True))
         todo = (x.join(now, "key").filter((F.col("xc") != F.col("comp")) & (F.col("rep") != F.col("hub"))
-                                          & alike(F.col("xn"), F.col("n")) & near)
+                                          & alike(F.col("xn"), F.col("n")) & near & may(F.col("x_sig"), F.col("sig")))
                 .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
                 .join(done, ["a", "b"], "left_anti"))
         todo = cut(todo)
