@@ -1,27 +1,27 @@
 """Links between members of candidate buckets, without pairing buckets off.
 
-All members of a bucket are first compared with one hub. Buckets of the same
-members have up to ``HUBS`` different ones, so that a member that happens to
-differ from one hub of a large group is still connected to it by another.
-Members that are by then connected to their bucket's hub need no more; each of the others (outsiders) is compared
-with the members of other components, a growing number of outsiders at a
+All members of a bucket are first compared with one hub: the member whose
+buckets hold the most members over all, which in a group of near copies is the
+one nearest to what most of them have in common. Members that are by then
+connected to their bucket's hub need no more; each of the others (outsiders) is
+compared with the members of other components, a growing number of outsiders at a
 time, until all are done. A large group of alike members costs a link to a
 hub each, and no pair of a bucket that could join two components is left out:
 a pair is only skipped where its distances to the hub differ by more than
-the largest distance of a link, which no link can (the distance is a metric).
+the largest distance of a link, which no link can (the distance is a metric),
+or where its signatures rule it out, at the place where its members meet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import cut
 from .components import connected_components
 
-HUBS = 4
 FIRST_OUTSIDERS = 8
 GROWTH = 8
 SLACK = 1e-9
@@ -29,52 +29,57 @@ SLACK = 1e-9
 Verify = Callable[[DataFrame], DataFrame]
 
 
-def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify],
-                      percent: int, may: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify], percent: int,
+                      sigs: DataFrame | None = None, may: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """(node, component) of every node with a link, over members (key, rep, n).
 
-    With ``may``, members have a ``sig`` too, and only pairs whose signatures
-    it passes can be linked: others are ruled out where they meet.
-
     ``n`` is a size of the node; pairs whose smaller size is under
     ``percent`` per cent of the larger cannot be linked. ``prepare`` gets the
     nodes (rep) that share a bucket and returns a function from pairs (a, b)
     to (a, b, far, linked), materialised: whether they are linked, and their
-    distance, by which no link exceeds 1 - percent / 100, or NULL.
+    distance, by which no link exceeds 1 - percent / 100, or NULL. With
+    ``sigs`` (rep, sig), pairs are ruled out whose signatures ``may`` denies.
     """
+    if sigs is None:
+        sigs, may = members.select("rep", F.lit(0).alias("sig")).distinct(), lambda x, y: F.lit(True)
+
     def alike(x, y):
         return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
-    if may is None:
-        members, may = members.withColumn("sig", F.lit(0)), lambda x, y: F.lit(True)
-    turn = F.xxhash64(F.pmod("key", F.lit(HUBS)), "rep")
-    hubs = (members.groupBy("key").agg(F.min(F.struct(turn.alias("t"), "rep", "n", "sig")).alias("h"),
-                                       F.count(F.lit(1)).alias("c")).filter("c > 1")
-            .select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.sig").alias("hub_sig")))
-    shared = cut(members.join(hubs, "key"))
+    def possible(pairs):
+        for side in ("a", "b"):
+            pairs = pairs.join(sigs.select(F.col("rep").alias(side), F.col("sig").alias(f"{side}_sig")), side)
+        return pairs.filter(may(F.col("a_sig"), F.col("b_sig"))).select("a", "b")
+
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    shared = cut(members.select("key", "rep", "n").join(counts, "key"))
+    score = shared.groupBy("rep").agg(F.sum("c").alias("score"))
+    hubs = (shared.join(score, "rep").groupBy("key").agg(F.max(F.struct("score", "rep", "n")).alias("h"))
+            .select("key", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n")))
+    shared = cut(shared.drop("c").join(hubs, "key"))
     verify = prepare(shared.select("rep").distinct())
-    pairs = (shared.filter((F.col("rep") != F.col("hub")) & alike(F.col("n"), F.col("hub_n"))
-                           & may(F.col("sig"), F.col("hub_sig")))
+    pairs = (shared.filter((F.col("rep") != F.col("hub")) & alike(F.col("n"), F.col("hub_n")))
              .select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct())
-    done = verify(cut(pairs))
+    done = verify(cut(possible(pairs)))
     comps = cut(connected_components(done.filter("linked"), "a", "b"))
     outside = with_component(with_component(shared, "rep", "comp", comps), "hub", "hub_comp", comps)
-    outside = outside.filter("comp <> hub_comp").select("key", "rep")
-    nth = Window.partitionBy("key").orderBy("rep")
-    outside = cut(outside.withColumn("nth", F.row_number().over(nth)))
-    last = outside.agg(F.max("nth")).first()[0] or 0
+    outside = cut(outside.filter("comp <> hub_comp").select("key", "rep"))
+    # outsiders of a bucket are dealt over rounds by a hash, in the measure of their number
+    counts = outside.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    last = counts.agg(F.max("c")).first()[0] or 0
     if not last:
         return comps
+    turn = F.floor(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) * F.col("c") / F.lit(1 << 20))
     # the buckets that have outsiders, with each member's distance to the hub
-    open_ = shared.join(outside.select("key").distinct(), "key", "left_semi")
-    open_ = cut(open_.withColumn("a", F.least("hub", "rep")).withColumn("b", F.greatest("hub", "rep"))
-                .join(done.select("a", "b", "far"), ["a", "b"], "left").drop("a", "b"))
+    open_ = shared.join(counts, "key").join(outside.withColumn("out", F.lit(True)), ["key", "rep"], "left")
+    open_ = open_.withColumn("a", F.least("hub", "rep")).withColumn("b", F.greatest("hub", "rep"))
+    open_ = cut(open_.join(done.select("a", "b", "far"), ["a", "b"], "left").join(sigs, "rep")
+                .withColumn("nth", F.when(F.col("out"), turn)).drop("a", "b", "c", "out"))
     reach = 1 - percent / 100 + SLACK
     lo, step = 0, FIRST_OUTSIDERS
     while lo < last:
-        some = outside.filter((F.col("nth") > lo) & (F.col("nth") <= lo + step)).select("key", "rep")
         now = with_component(open_, "rep", "comp", comps)
-        x = now.join(some, ["key", "rep"], "left_semi").select(
+        x = now.filter((F.col("nth") >= lo) & (F.col("nth") < lo + step)).select(
             "key", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"),
             F.col("far").alias("x_far"), F.col("sig").alias("x_sig"))
         near = F.coalesce(F.abs(F.col("x_far") - F.col("far")) <= reach, F.lit(True))

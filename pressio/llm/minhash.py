@@ -9,10 +9,11 @@ agree on a band are candidates; every link is confirmed on the full sets.
 Documents with equal sets are one class, represented by its smallest id, so
 copies never meet each other. Within a bucket of a band, members meet hubs
 as :mod:`buckets` has it: a large group of near copies costs a link each,
-and no pair of a bucket that could join two components is left out.
+and no pair of a bucket that could join two components is left out. Before any
+set moves, pairs are ruled out whose signatures agree on too few coordinates.
 
-The number of bands follows from the threshold: a pair at it is missed with
-probability ``MISS`` at most.
+The number of bands and of coordinates to agree on follow from the threshold:
+a pair at it is missed by either with probability ``MISS`` at most.
 
 Defined cases: words are split at white space, A-Z is lower-cased; a text
 with fewer words has one shingle, one without words (or NULL) none, and is
@@ -24,6 +25,8 @@ gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -165,6 +168,41 @@ def band_keys(sig: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
     return h.view(np.int64)
 
 
+def least_agreement(percent: int, count: int) -> int:
+    """Fewest of ``count`` coordinates on which sets at the threshold agree,
+    but for a probability of ``MISS``."""
+    p, below, k = percent / 100, 0.0, 0
+    while True:
+        below += math.comb(count, k) * p ** k * (1 - p) ** (count - k)
+        if below > MISS:
+            return k
+        k += 1
+
+
+def packed(sig: np.ndarray) -> np.ndarray:
+    """Four bits of each coordinate, sixteen to a long; the rest are zero."""
+    low = np.zeros((len(sig), -(-sig.shape[1] // 16) * 16), np.uint8)
+    low[:, :sig.shape[1]] = sig & np.uint32(15)
+    return (low[:, ::2] | low[:, 1::2] << np.uint8(4)).view(np.int64)
+
+
+def may_be_linked(percent: int, count: int):
+    """Whether signatures as :func:`packed` has them leave a link possible.
+    Coordinates that differ may agree by chance in their four bits, which
+    only makes more pairs possible."""
+    most = count - least_agreement(percent, count)
+
+    def differ(x, y):
+        v = x.bitwiseXOR(y)
+        v = v.bitwiseOR(F.shiftrightunsigned(v, 1))
+        v = v.bitwiseOR(F.shiftrightunsigned(v, 2))
+        return F.bit_count(v.bitwiseAND(F.lit(0x1111111111111111)))
+
+    def may(x, y):
+        return reduce(add, [differ(F.get(x, i), F.get(y, i)) for i in range(-(-count // 16))]) <= most
+    return may
+
+
 def _lists(rows: np.ndarray, mask: np.ndarray) -> pa.Array:
     """A list column; rows where ``mask`` is False are empty."""
     size = np.where(mask, rows.shape[1] if rows.ndim == 2 else 0, 0)
@@ -174,7 +212,8 @@ def _lists(rows: np.ndarray, mask: np.ndarray) -> pa.Array:
 
 def signature_table(docs: DataFrame, bands: int, key: str = "doc_id", text: str = "text",
                     width: int = WIDTH) -> DataFrame:
-    """(doc_id, n, f1, f2, keys): set size, 128-bit digest of the set, band keys."""
+    """(doc_id, n, f1, f2, keys, sig): set size, 128-bit digest of the set, band
+    keys, and the signature in brief."""
     def run(batches):
         for batch in batches:
             for lo, hi in chunks(batch, text, 1_000_000):
@@ -183,17 +222,16 @@ def signature_table(docs: DataFrame, bands: int, key: str = "doc_id", text: str
                 sets = shingle_sets(raw, off, width)
                 n = np.array([len(s) for s in sets], np.int64)
                 some = [s for s in sets if len(s)]
-                keys = (band_keys(signatures(some, bands * ROWS), bands) if some
-                        else np.zeros((0, bands), np.int64))
+                sig = signatures(some, bands * ROWS) if some else np.zeros((0, bands * ROWS), np.uint32)
                 d = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
                 f = np.frombuffer(b"".join(d), dtype=np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(key), pa.array(n), pa.array(f[:, 0].copy()),
-                     pa.array(f[:, 1].copy()), _lists(keys, n > 0)],
-                    names=["doc_id", "n", "f1", "f2", "keys"])
+                     pa.array(f[:, 1].copy()), _lists(band_keys(sig, bands), n > 0), _lists(packed(sig), n > 0)],
+                    names=["doc_id", "n", "f1", "f2", "keys", "sig"])
 
     return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(
-        run, "doc_id long, n long, f1 long, f2 long, keys array<long>")
+        run, "doc_id long, n long, f1 long, f2 long, keys array<long>, sig array<long>")
 
 
 def _prepare(docs: DataFrame, key: str, text: str, percent: int, width: int):
@@ -247,14 +285,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     percent: int = 85, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``:
     linked are sets with 100 * intersection >= ``percent`` * union."""
-    sig = cut(signature_table(docs, band_count(percent), key, text, width))
+    bands = band_count(percent)
+    sig = cut(signature_table(docs, bands, key, text, width))
     classes = (sig.filter("n > 0 and doc_id is not null").groupBy("f1", "f2")
                .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
-                    F.first("keys").alias("keys")))
+                    F.first("keys").alias("keys"), F.first("sig").alias("sig")))
     classes = cut(classes)
 
-    bands = classes.select("rep", "n", F.explode("keys").alias("key"))
-    comps = bucket_components(bands, _prepare(docs, key, text, percent, width), percent)
+    members = classes.select("rep", "n", F.explode("keys").alias("key"))
+    # of an id with several texts any may be linked: it has no one signature
+    one = classes.groupBy("rep").agg(F.when(F.count(F.lit(1)) == 1, F.first("sig")).alias("sig"))
+    may = may_be_linked(percent, bands * ROWS)
+    comps = bucket_components(members, _prepare(docs, key, text, percent, width), percent, one,
+                              lambda x, y: F.coalesce(may(x, y), F.lit(True)))
     reps = classes.select(F.col("f1").alias("_f1"), F.col("f2").alias("_f2"), "rep")
     found = sig.select("doc_id", F.col("n").alias("n_shingles"), "f1", "f2").join(
         reps, (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2"))
@@ -271,9 +314,9 @@ def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     smallest id, and of rows that share it that with the smallest hash of its
     text. Rows without an id all stay."""
     kept = near_duplicates(docs, key, text, percent).filter("kept and doc_id is not null")
-    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.filter(F.col(key).isNotNull()).join(
-        ids, F.col(key).cast("long") == F.col("_kept_id"), "left_semi")
-    nth = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
-    one = named.withColumn("_nth", F.row_number().over(nth)).filter("_nth = 1").drop("_nth")
-    return one.unionByName(docs.filter(F.col(key).isNull()))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("doc_id"),
+                       F.xxhash64(text).alias("h"))
+    named = rows.join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
+    nth = Window.partitionBy("doc_id").orderBy("h", F.col("row")[text])
+    one = named.withColumn("nth", F.row_number().over(nth)).filter("nth = 1")
+    return one.select("row.*").unionByName(docs.filter(F.col(key).isNull()))
