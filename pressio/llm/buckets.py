@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from ._common import cut
 from .components import connected_components
 
-FIRST_OUTSIDERS = 8
-GROWTH = 8
+FIRST_OUTSIDERS = 256             # few rounds: each finds components anew
+GROWTH = 256
 SLACK = 1e-9
 
 Verify = Callable[[DataFrame], DataFrame]

@@ -40,6 +40,7 @@ from .buckets import bucket_components, with_component
 WIDTH = 5
 ROWS = 5
 MISS = 1e-6
+COORDINATES = 256                 # of a signature, at least: the first ones make the bands
 _U = np.uint64
 # Fixed odd multipliers of the hashes and permutations.
 _BASE = 0x9E3779B97F4A7C15
@@ -158,6 +159,10 @@ def band_count(percent: int, rows: int = ROWS) -> int:
     return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** rows))
 
 
+def coordinates(bands: int, rows: int = ROWS) -> int:
+    return max(COORDINATES, bands * rows)
+
+
 def band_keys(sig: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
     """A 64-bit key per band that also names the band."""
     with np.errstate(over="ignore"):
@@ -214,6 +219,8 @@ def signature_table(docs: DataFrame, bands: int, key: str = "doc_id", text: str
                     width: int = WIDTH) -> DataFrame:
     """(doc_id, n, f1, f2, keys, sig): set size, 128-bit digest of the set, band
     keys, and the signature in brief."""
+    count = coordinates(bands)
+
     def run(batches):
         for batch in batches:
             for lo, hi in chunks(batch, text, 1_000_000):
@@ -222,12 +229,12 @@ def signature_table(docs: DataFrame, bands: int, key: str = "doc_id", text: str
                 sets = shingle_sets(raw, off, width)
                 n = np.array([len(s) for s in sets], np.int64)
                 some = [s for s in sets if len(s)]
-                sig = signatures(some, bands * ROWS) if some else np.zeros((0, bands * ROWS), np.uint32)
+                sig = signatures(some, count) if some else np.zeros((0, count), np.uint32)
                 d = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
                 f = np.frombuffer(b"".join(d), dtype=np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(key), pa.array(n), pa.array(f[:, 0].copy()),
-                     pa.array(f[:, 1].copy()), _lists(band_keys(sig, bands), n > 0), _lists(packed(sig), n > 0)],
+                     pa.array(f[:, 1].copy()), _lists(band_keys(sig[:, :bands * ROWS], bands), n > 0), _lists(packed(sig), n > 0)],
                     names=["doc_id", "n", "f1", "f2", "keys", "sig"])
 
     return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(
@@ -295,7 +302,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     members = classes.select("rep", "n", F.explode("keys").alias("key"))
     # of an id with several texts any may be linked: it has no one signature
     one = classes.groupBy("rep").agg(F.when(F.count(F.lit(1)) == 1, F.first("sig")).alias("sig"))
-    may = may_be_linked(percent, bands * ROWS)
+    may = may_be_linked(percent, coordinates(bands))
     comps = bucket_components(members, _prepare(docs, key, text, percent, width), percent, one,
                               lambda x, y: F.coalesce(may(x, y), F.lit(True)))
     reps = classes.select(F.col("f1").alias("_f1"), F.col("f2").alias("_f2"), "rep")
