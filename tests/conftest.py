@@ -7,10 +7,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-GOLDEN = os.path.join(ROOT, "tests", "golden")
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -30,10 +26,3 @@ def spark():
     from pressio.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(s)
     yield s
-
-
-def golden(name):
-    path = os.path.join(GOLDEN, name)
-    if not os.path.exists(path):
-        pytest.skip("published files not available")
-    return path

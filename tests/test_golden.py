@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import golden
+from given import golden
 from pressio import REFERENCE
 from pressio.functions import round_r, week_label
 from pressio.operators import mean_by, relabel, stress_kpis

@@ -12,7 +12,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from given import SF001
 from pressio.plans import catalog
 
 TABLES = "nation customer supplier orders lineitem events".split()

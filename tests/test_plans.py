@@ -4,7 +4,7 @@ no single-partition exchange in the pipeline, adaptive execution on."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from given import SF001
 from pressio.plans import catalog
 
 

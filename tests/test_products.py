@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01
+from given import SF001, SF01
 from pressio.plans import catalog as C
 from pressio.plans import result as P
 from pressio.plans import products as R

@@ -7,7 +7,7 @@ import tempfile
 
 import pytest
 
-from conftest import SF001
+from given import SF001
 from pressio.plans import catalog as C
 from pressio.plans import run
 from pressio.plans.run import current_run, run_all
