@@ -126,12 +126,23 @@ def read_result(spark: SparkSession, path: str, only_months=None) -> DataFrame:
 
 
 def publish_frame(df: DataFrame) -> DataFrame:
-    """Numbers as published text (S7): ``10`` not ``10.0``, no exponent."""
+    """Numbers as published text (S7): ``10`` not ``10.0``, no exponent.
+
+    A row's doubles are formatted as one array, so that the expression is
+    in the plan once, whatever the number of columns.
+    """
+    reals = [f.name for f in df.schema.fields
+             if isinstance(f.dataType, NumericType) and not isinstance(f.dataType, IntegralType)]
+    if reals:
+        texts = F.transform(F.array(*[as_col(c).cast("double") for c in reals]), lambda x: number_text(x))
+        df = df.select(F.struct(*[as_col(c) for c in df.columns]).alias("row"), texts.alias("texts"))
     out = []
-    for f in df.schema.fields:
-        c = as_col(f.name)
-        if isinstance(f.dataType, NumericType):
-            c = number_text(c, isinstance(f.dataType, IntegralType))
+    for f in df.schema["row"].dataType.fields if reals else df.schema.fields:
+        c = F.col("row")[f.name] if reals else as_col(f.name)
+        if f.name in reals:
+            c = F.get("texts", F.lit(reals.index(f.name)))
+        elif isinstance(f.dataType, NumericType):
+            c = number_text(c, True)
         out.append(c.cast("string").alias(f.name))
     return df.select(*out)
 

@@ -162,3 +162,16 @@ def test_files_of_a_feed_with_columns_in_their_own_order(spark):
     _feed(d, "d.csv", "denominazione_regione\nD\n")
     with pytest.raises(ValueError, match="missing columns"):
         read_table(spark, d, schemas.POPULATION)
+
+
+def test_published_numbers_are_one_expression(spark):
+    """Many columns of numbers do not make the generated code grow: each is
+    formatted by the same expression over the row's array."""
+    from pressio.sources.io import publish_frame
+    df = spark.range(3).selectExpr("id", *[f"id * {k} / 3.0D as `c {k}`" for k in range(40)], "'x' as texts")
+    out = publish_frame(df)
+    assert out.columns == df.columns
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("decimal(38,15)") <= 2
+    row = out.orderBy("id").collect()[1]
+    assert row["id"] == "1" and row["c 3"] == "1" and row["c 1"] == "0.3333333333333333" and row["texts"] == "x"
