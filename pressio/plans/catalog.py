@@ -15,8 +15,9 @@ from pyspark.sql.types import LongType, StringType
 from ..functions import (number_text, parse_day, rejected_day, round_r, strict_mean,
                          strict_running_sum, strict_sum, week_label, week_number)
 from ..operators import (date_range, drop_incomplete, drop_last_key,
-                         lagged_increment, natural_join, pivot_wide, recode,
-                         running_total, sum_with_total, with_total)
+                         lagged_increment, lagged_increment_by_month, natural_join,
+                         pivot_wide, ranked, recode, running_total,
+                         running_total_by_month, sum_with_total, with_total)
 from ..sources import adapters as A
 from ..sources.io import conformed_cell
 from . import result as P
@@ -94,6 +95,19 @@ def running_total_q(spark, sf):
                          CFG.new_vaccinated, CFG.vaccinated)
 
 
+def lag_increment_by_month(spark, sf):
+    """W1, W2 with months as tasks and a halo of rows between them."""
+    return lagged_increment_by_month(incidence_with_total(spark, sf), CFG.entity, CFG.date,
+                                     CFG.cases_cumulative, CFG.delta, CFG.cases_lag,
+                                     CFG.increment)
+
+
+def running_total_by_month_q(spark, sf):
+    """W3 as a prefix scan over months."""
+    return running_total_by_month(vaccination_with_total(spark, sf), CFG.entity, CFG.date,
+                                  CFG.new_vaccinated, CFG.vaccinated)
+
+
 def _lines_with_nulls(spark, sf):
     li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     q = F.when(F.col("l_quantity") != NULL_QUANTITY, F.col("l_quantity").cast("bigint"))
@@ -188,7 +202,7 @@ def events_daily_wide(spark, sf):
 
 
 def weighted_count_q(spark, sf):
-    return R.ranked(R.population_by_entity(A.population_raw(spark, sf), CFG), R.population_order(CFG))
+    return ranked(R.population_by_entity(A.population_raw(spark, sf), CFG), R.population_order(CFG))
 
 
 def feed_cells(spark, sf):
@@ -277,6 +291,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dimension_with_total": dimension_with_total,
     "lag_increment": lag_increment,
     "running_total": running_total_q,
+    "lag_increment_by_month": lag_increment_by_month,
+    "running_total_by_month": running_total_by_month_q,
     "strict_sum": strict_sum_q,
     "strict_mean": strict_mean_q,
     "strict_cumsum": strict_cumsum_q,

@@ -353,6 +353,8 @@ def oracle_sql() -> dict[str, str]:
         "dimension_with_total": with_chain("SELECT * FROM dim_total", "dim_total"),
         "lag_increment": with_chain("SELECT * FROM incidence_lag", "incidence_lag"),
         "running_total": with_chain("SELECT * FROM vax_series", "vax_series"),
+        "lag_increment_by_month": with_chain("SELECT * FROM incidence_lag", "incidence_lag"),
+        "running_total_by_month": with_chain("SELECT * FROM vax_series", "vax_series"),
         "strict_sum": with_chain(
             f"SELECT l_orderkey, {ssum('qty')} AS sum_qty, COUNT(*) AS n_lines "
             "FROM lines GROUP BY l_orderkey", "lines"),
