@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions import (number_text, parse_day, rejected_day, round_r, strict_mean,
                          strict_running_sum, strict_sum, week_label, week_number)
@@ -19,7 +19,9 @@ from ..operators import (date_range, drop_incomplete, drop_last_key,
                          pivot_wide, ranked, recode, running_total,
                          running_total_by_month, sum_with_total, with_total)
 from ..sources import adapters as A
-from ..sources.io import conformed_cell
+from ..session import drop_folder, scratch_folder
+from ..sources.io import (REJECTED, conformed_cell, months, publish_csv, read_result,
+                          read_with_rejects, reject_counts, write_result)
 from . import result as P
 from . import products as R
 
@@ -240,6 +242,66 @@ def date_spellings(spark, sf):
         rejected_day("text"), F.lit(False)).alias("rejected"))
 
 
+FEED = StructType([StructField("l_orderkey", LongType()), StructField("l_linenumber", LongType()),
+                   StructField("totale_casi", LongType()), StructField("data", StringType())])
+
+
+def _landed(spark, sf, use):
+    """``use`` of a feed written from lineitem, kept; the files go. It lies in
+    two sets of CSV files, their columns in different orders, and some of its
+    counts and days cannot be read (S1-S3)."""
+    li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    d, kind = F.to_date("l_shipdate"), (F.col("l_orderkey") + F.col("l_linenumber")) % 7
+    whole = F.col("l_quantity").cast("bigint").cast("string")
+    count = (F.when(kind == 0, F.concat(whole, F.lit(".0"))).when(kind == 1, F.concat(whole, F.lit("x")))
+             .when(kind == 2, F.lit("NA")).when(kind == 3, F.concat(whole, F.lit(".5"))).otherwise(whole))
+    day = (F.when(kind == 3, F.concat(F.year(d).cast("string"), F.lit("-02-30")))
+           .when(kind == 4, F.lit("soon")).when(kind == 5, F.lit(None).cast("string"))
+           .otherwise(F.date_format(d, "yyyy-MM-dd")))
+    feed = li.select("l_orderkey", "l_linenumber", count.alias("totale_casi"), day.alias("data"))
+    path = scratch_folder(spark, "feed")
+    try:
+        for name, even, columns in (("a", True, feed.columns), ("b", False, feed.columns[::-1])):
+            (feed.filter((F.col("l_orderkey") % 2 == 0) == F.lit(even)).select(*columns)
+             .write.option("header", True).csv(f"{path}/{name}"))
+        read = read_with_rejects(spark, [f"{path}/a", f"{path}/b"], FEED, days=["data"])
+        return P.materialise(use(read))
+    finally:
+        drop_folder(spark, path)
+
+
+def feed_rows(spark, sf):
+    """Every row of a landed feed, with the texts that could not be read."""
+    return _landed(spark, sf, lambda feed: feed.select(
+        "l_orderkey", "l_linenumber", "totale_casi", parse_day("data").alias("day"),
+        F.col(REJECTED)["totale_casi"].alias("bad_count"), F.col(REJECTED)["data"].alias("bad_day")))
+
+
+def feed_rejects(spark, sf):
+    """Rows and rejects of each column of a landed feed."""
+    return _landed(spark, sf, lambda feed: reject_counts(feed, FEED.names))
+
+
+def result_months(spark, sf):
+    """The incidence series written by month and two months' days of it read back."""
+    path = scratch_folder(spark, "result")
+    try:
+        write_result(conform_incidence(spark, sf), path, CFG.date)
+        return P.materialise(read_result(spark, path, months(CFG.day(40), CFG.as_of)))
+    finally:
+        drop_folder(spark, path)
+
+
+def published_text(spark, sf):
+    """The mean quantity per order as published CSV, read back as text."""
+    path = scratch_folder(spark, "published")
+    try:
+        publish_csv(strict_mean_q(spark, sf), path, order_by=["l_orderkey"])
+        return P.materialise(spark.read.option("header", True).option("inferSchema", False).csv(path))
+    finally:
+        drop_folder(spark, path)
+
+
 def number_text_q(spark, sf):
     """Prices, large and small numbers made from them, as published text."""
     li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
@@ -315,6 +377,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arrow": arrow,
     "feed_cells": feed_cells,
     "date_spellings": date_spellings,
+    "feed_rows": feed_rows,
+    "feed_rejects": feed_rejects,
+    "result_months": result_months,
+    "published_text": published_text,
     "number_text": number_text_q,
     "join_null_keys": join_null_keys,
 }

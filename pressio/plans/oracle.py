@@ -337,6 +337,42 @@ SELECT a.day, a.entity, a.n_orders, b.n_customers
 FROM a LEFT JOIN b ON a.entity IS NOT DISTINCT FROM b.entity AND b.entity IS DISTINCT FROM 3"""
 
 
+# A landed feed whose counts and days are spelled by kind, some unreadable.
+LANDED = """
+WITH feed AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q, CAST(l_shipdate AS DATE) AS d,
+         (l_orderkey + l_linenumber) % 7 AS kind FROM lineitem
+), cells AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN kind NOT IN (1, 2, 3) THEN q END AS totale_casi,
+         CASE WHEN kind NOT IN (3, 4, 5) THEN d END AS day,
+         CASE kind WHEN 1 THEN q || 'x' WHEN 3 THEN q || '.5' END AS bad_count,
+         CASE kind WHEN 3 THEN year(d) || '-02-30' WHEN 4 THEN 'soon' END AS bad_day FROM feed)
+"""
+FEED_ROWS = LANDED + """SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+  totale_casi, day, bad_count, bad_day FROM cells"""
+FEED_REJECTS = LANDED + """
+SELECT x."column", COUNT(*) AS n_rows,
+       CAST(SUM(CASE x."column" WHEN 'totale_casi' THEN CAST(bad_count IS NOT NULL AS INTEGER)
+                WHEN 'data' THEN CAST(bad_day IS NOT NULL AS INTEGER) ELSE 0 END) AS BIGINT) AS n_rejected
+FROM cells, (VALUES ('l_orderkey'), ('l_linenumber'), ('totale_casi'), ('data'), ('(record)')) x("column")
+GROUP BY x."column"
+"""
+PUBLISHED_TEXT = r"""
+SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey,
+       COALESCE(regexp_replace(CAST(m AS VARCHAR), '\.0$', ''), 'NA') AS mean_qty
+FROM (SELECT l_orderkey, CASE WHEN COUNT(q) = COUNT(*) THEN CAST(SUM(q) AS DOUBLE) / COUNT(*) END AS m
+      FROM (SELECT l_orderkey, CASE WHEN l_quantity <> 13 THEN CAST(l_quantity AS BIGINT) END AS q FROM lineitem)
+      GROUP BY l_orderkey)
+"""
+
+
+def _result_months() -> str:
+    first = CFG.day(40).replace(day=1)
+    after = (CFG.as_of.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+    return (f"SELECT * FROM incidence WHERE {ident(CFG.date)} >= {day(first)} "
+            f"AND {ident(CFG.date)} < {day(after)}")
+
+
 def oracle_sql() -> dict[str, str]:
     lo60, hi2 = day(CFG.day(CFG.last_days)), day(CFG.day(CFG.snapshot_lag))
     wk_key = "week * 10000 + year"
@@ -402,6 +438,10 @@ def oracle_sql() -> dict[str, str]:
         "weighted_count": _population(),
         "feed_cells": FEED_CELLS,
         "date_spellings": DATE_SPELLINGS,
+        "feed_rows": FEED_ROWS,
+        "feed_rejects": FEED_REJECTS,
+        "result_months": with_chain(_result_months(), "incidence"),
+        "published_text": PUBLISHED_TEXT,
         "number_text": NUMBER_TEXT,
         "join_null_keys": JOIN_NULL_KEYS,
         "full_result": with_chain("SELECT * FROM res", "res"),

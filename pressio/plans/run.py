@@ -16,12 +16,14 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import os
+import sys
 import uuid
 
 from pyspark.sql import SparkSession
 
 from ..config import REFERENCE, PipelineConfig
-from ..sources import publish_csv, read_result, read_table, schemas, write_result
+from ..sources import (observe_rejects, publish_csv, read_result, read_table, read_with_rejects,
+                       schemas, write_result)
 from ..sources.io import months
 from . import result as P
 from . import products as R
@@ -48,15 +50,25 @@ def product_months(cfg: PipelineConfig) -> dict:
 
 
 def run_all(spark: SparkSession, incidence, vaccination, dimension, out_dir: str,
-            cfg: PipelineConfig = REFERENCE, population=None) -> dict:
+            cfg: PipelineConfig = REFERENCE, population=None, observed=None) -> dict:
     """Compute, write and publish into a fresh run folder, then make it the
     current one; returns the written paths. A run that fails leaves the
-    published set as it was: see :func:`current_run`."""
+    published set as it was: see :func:`current_run`. ``observed`` holds, by
+    feed, the counts of unreadable cells that the write of the result gathers
+    (:func:`~pressio.sources.observe_rejects`); they are written as ``rejects``."""
     run = f"run-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     run_dir = os.path.join(out_dir, "runs", run)
     result_path = os.path.join(run_dir, "result")
     write_result(P.full_result(incidence, vaccination, dimension, cfg), result_path, cfg.date)
     written = {"result": result_path}
+    if observed:
+        counts = [(feed, column, n) for feed, seen in observed.items() for column, n in seen.get.items()]
+        written["rejects"] = os.path.join(run_dir, "rejects")
+        publish_csv(spark.createDataFrame(counts, "feed string, column string, n_rejected long"),
+                    written["rejects"], order_by=["feed", "column"])
+        for feed, column, n in counts:
+            if n:
+                print(f"{feed}: {n} unreadable in {column}", file=sys.stderr)
     labels = dict((c, lab) for lab, c in cfg.table_labels)
     order = {
         "snapshot": R.snapshot_order(cfg, labels.get(cfg.entity, cfg.entity)),
@@ -125,12 +137,19 @@ def main(argv=None) -> None:
                           total_label=args.total_label,
                           single_dose_supplier=args.single_dose_supplier)
     fmt = args.format
-    inc = read_table(spark, args.incidence, schemas.INCIDENCE, fmt)
-    vax = read_table(spark, args.vaccination, schemas.VACCINATION, fmt)
+    observed = {}
+
+    def feed(name: str, path: str, day: str):
+        schema = schemas.BY_NAME[name]
+        df, observed[name] = observe_rejects(read_with_rejects(spark, path, schema, [day], fmt), schema.names)
+        return df
+
+    inc = feed("incidence", args.incidence, "data")
+    vax = feed("vaccination", args.vaccination, "data_somministrazione")
     dim = read_table(spark, args.dimension, schemas.DIMENSION, fmt)
     pop = (read_table(spark, args.population, schemas.POPULATION, fmt)
            if args.population else None)
-    for k, v in run_all(spark, inc, vax, dim, args.out, cfg, pop).items():
+    for k, v in run_all(spark, inc, vax, dim, args.out, cfg, pop, observed).items():
         print(k, v)
 
 

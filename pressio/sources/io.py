@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DataType, DateType, IntegralType, NumericType, StringType,
-                               StructType, TimestampType)
+                               StructField, StructType, TimestampType)
 
-from ..functions import as_col, number_text
+from ..functions import as_col, number_text, rejected_day
 
 
-def conformed_cell(name: str, kind: DataType) -> Column:
+def conformed_cell(name: str, kind: DataType, strict: bool = True) -> Column:
     """A feed's text cell as its declared type.
 
     Empty text, quoted or not, and ``NA`` are missing. A whole number may be
     spelled ``1234``, ``1234.0`` or ``1e5``; text that is no number becomes
     NULL (the row is kept); a number with a fraction in an integer column
-    fails the job, as no integer stands for it.
+    fails the job, as no integer stands for it (without ``strict`` it becomes NULL).
     """
     c = as_col(name)
     trimmed = F.trim(c)
@@ -28,7 +29,8 @@ def conformed_cell(name: str, kind: DataType) -> Column:
     if isinstance(kind, IntegralType):
         d = given.try_cast("double")
         ok = ~F.isnan(d) & (F.abs(d) < F.lit(float(2 ** 63)))
-        refused = F.raise_error(F.concat(F.lit(f"{name}: not a whole number: "), given)).cast(kind)
+        refused = (F.raise_error(F.concat(F.lit(f"{name}: not a whole number: "), given)) if strict
+                   else F.lit(None)).cast(kind)
         return F.coalesce(given.try_cast(kind),
                           F.when(ok & (d != F.floor(d)), refused).when(ok, d.try_cast("long").try_cast(kind)))
     return given.try_cast(kind)
@@ -40,10 +42,20 @@ def _csv(spark: SparkSession, paths):
             .option("encoding", "UTF-8").option("inferSchema", False).csv(paths))
 
 
-def _csv_by_name(spark: SparkSession, path: str, names) -> DataFrame:
+def _csv_records(spark: SparkSession, paths, header, record: str) -> DataFrame:
+    """Files of one header, with the text of each record of more or fewer
+    cells than the header in ``record`` (cells cannot be skipped for that)."""
+    kinds = StructType([StructField(n, StringType()) for n in [*header, record]])
+    return (spark.read.option("header", True).option("enforceSchema", False)
+            .option("encoding", "UTF-8").option("mode", "PERMISSIVE").option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", record).schema(kinds).csv(paths))
+
+
+def _csv_by_name(spark: SparkSession, path, names, record: str | None = None) -> DataFrame:
     """The named columns of every CSV file under ``path``, wherever each
     file has them. Files with one header are one scan; a feed of one file,
-    the usual case, costs no look at the others' headers."""
+    the usual case, costs no look at the others' headers. ``record``: as
+    :func:`_csv_records` has it."""
     df = _csv(spark, path)
     files = df.inputFiles()
     groups: dict[tuple, list] = {tuple(df.columns): files}
@@ -56,8 +68,9 @@ def _csv_by_name(spark: SparkSession, path: str, names) -> DataFrame:
         missing = [n for n in names if n not in header]
         if missing:
             raise ValueError(f"{members[0] if members else path}: missing columns {missing}")
-        one = df if len(groups) == 1 else _csv(spark, members)
-        parts.append(one.select(*[as_col(n) for n in names]))
+        one = (_csv_records(spark, members, header, record) if record
+               else df if len(groups) == 1 else _csv(spark, members))
+        parts.append(one.select(*[as_col(n) for n in [*names, *([record] if record else [])]]))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -90,6 +103,67 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     return df.select(*cols)
 
 
+REJECTED = "rejected"
+RECORD = "(record)"               # the ledger's name of a record that does not fit its header
+
+
+def read_with_rejects(spark: SparkSession, path, schema: StructType, days: Sequence[str] = (),
+                      fmt: str = "csv", out: str = REJECTED) -> DataFrame:
+    """A landed feed as :func:`read_table` reads it, with a ledger in each row.
+
+    ``out`` maps the name of each column whose cell is given but cannot be
+    read as its type to the cell's text; the cell itself is NULL, also where
+    an integer column has a fraction. Text columns in ``days`` must hold a
+    day; what does not is in the ledger and stays in its column. A CSV
+    record of more or fewer cells than its header has only NULL cells and is
+    in the ledger whole, under ``RECORD``. A row without rejects has an empty
+    map. One pass; nothing is dropped. An empty file gives no rows.
+    """
+    if out in schema.names:
+        raise ValueError(f"{out} is a column of the feed")
+    if fmt == "csv":
+        record = out
+        while record in schema.names or record == out:
+            record += "_"
+        df = _csv_by_name(spark, path, schema.names, record)
+        whole = as_col(record)
+    else:
+        df, whole = spark.read.format(fmt).load(path), F.lit(None).cast("string")
+    cells, ledger = [], [F.struct(F.lit(RECORD).alias("name"), whole.alias("text"))]
+    for f in schema.fields:
+        native = df.schema[f.name].dataType
+        raw = as_col(f.name).cast("string")
+        good = (conformed_cell(f.name, f.dataType, strict=False) if isinstance(native, StringType)
+                else as_col(f.name).try_cast(f.dataType))
+        bad = rejected_day(good) if f.name in days else good.isNull()
+        given = raw.isNotNull() & ~F.trim(raw).isin("", "NA")
+        ledger.append(F.struct(F.lit(f.name).alias("name"),
+                               F.when(whole.isNull() & given & bad, raw).alias("text")))
+        cells.append(F.when(whole.isNull(), good).alias(f.name))
+    rejects = F.map_from_entries(F.filter(F.array(*ledger), lambda x: x["text"].isNotNull()))
+    return df.select(*cells, rejects.alias(out))
+
+
+def reject_counts(df: DataFrame, columns: Sequence[str], out: str = REJECTED) -> DataFrame:
+    """(column, n_rows, n_rejected) of each of ``columns`` and of ``RECORD``, zeros
+    included, over rows with a ledger; none for an empty table. A row counts
+    partially before the shuffle, which holds a line per column and task."""
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.map_contains_key(as_col(out), c).alias("bad"))
+                     for c in [*columns, RECORD]])
+    return (df.select(F.explode(each).alias("x")).groupBy(F.col("x.column").alias("column"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("x.bad")).alias("n_rejected")))
+
+
+def observe_rejects(df: DataFrame, columns: Sequence[str], out: str = REJECTED) -> tuple[DataFrame, Observation]:
+    """``df`` without its ledger, and the counts of rejects by column of the
+    first action on it, gathered in that same pass. A task that is run again
+    may be counted again: a figure for a warning; :func:`reject_counts` is exact."""
+    seen = Observation()
+    counted = df.observe(seen, *[F.count_if(F.map_contains_key(as_col(out), c)).alias(c)
+                                 for c in [*columns, RECORD]])
+    return counted.drop(out), seen
+
+
 MONTH = "month"
 
 
