@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import as_col
 from ._common import cut, word_count
 
 WEIGHTS = (3, 1, 2)
@@ -288,27 +289,30 @@ def taken(docs: DataFrame, block: int = BLOCK, **kw) -> DataFrame:
 def mix_texts(docs: DataFrame, block: int = BLOCK, **kw) -> DataFrame:
     """The mix as documents: for each pass over a source, a document with
     the words the mix takes from it, in order, joined by single spaces. All
-    columns of ``docs`` are kept; ``n_chars`` is renewed. A document of which
+    columns of ``docs`` are kept, whatever they are called; ``n_chars`` is renewed. A document of which
     nothing is taken goes."""
     names = docs.columns
     # two hashes of the whole row name it; equal rows are alike in everything
     # and each of their places gets a row of its own below
-    sized = docs.select("*", word_count(F.col("text")).alias("_size"),
-                        F.xxhash64(*names).alias("_h1"), F.xxhash64(F.lit(1), *names).alias("_h2"))
-    small = cut(sized.select("doc_id", "source", F.col("_size").alias("size"), "_h1", "_h2"))
+    cols = [as_col(c) for c in names]
+    sized = docs.select(F.struct(*cols).alias("row"), word_count(F.col("text")).alias("_size"),
+                        F.xxhash64(*cols).alias("_h1"), F.xxhash64(F.lit(1), *cols).alias("_h2"))
+    small = cut(sized.select(F.col("row")["doc_id"].alias("doc_id"), F.col("row")["source"].alias("source"),
+                             F.col("_size").alias("size"), "_h1", "_h2"))
     pos, pieces, slots = mix(small, block, salt=("_h1", "_h2"), **kw)
     got = (pieces.join(slots.hint("merge"), ["_rank", "block"])
            .groupBy("_rank", "_start", "epoch")
            .agg(F.sort_array(F.collect_list(F.struct("piece_first", "piece_words"))).alias("_p")))
     spans = (pos.filter("size > 0").select("_rank", "_start", "_h1", "_h2")
              .join(got, ["_rank", "_start"]).select("_h1", "_h2", "_p"))
-    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    words = F.regexp_extract_all(F.col("row")["text"], F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
     # the words are bound once: as a column they would be made again for every piece
     text = F.transform(F.array(words), lambda w: F.array_join(F.flatten(F.transform(
         F.col("_p"), lambda p: F.slice(w, (p["piece_first"] + 1).cast("int"),
                                        p["piece_words"].cast("int")))), " "))[0]
     out = (sized.filter("_size > 0").dropDuplicates(["_h1", "_h2"]).join(spans, ["_h1", "_h2"])
-           .withColumn("text", text))
+           .select("row", text.alias("mixed")))
+    new = {"text": F.col("mixed")}
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*names)
+        new["n_chars"] = F.length("mixed").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, F.col("row")[c]).alias(c) for c in names])

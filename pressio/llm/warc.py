@@ -9,7 +9,9 @@ committers on any store and hold arbitrary payload bytes.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,6 +24,9 @@ CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_SCHEMA = ("record_id string, target_uri string, record_type string, "
                  "payload_digest string, refers_to_id string, declared_bytes long, payload binary")
+# Bounds of a batch that a reader hands on.
+BATCH_ROWS = 500
+BATCH_BYTES = 16 << 20
 HEADER_SCHEMA = ("record_id string, target_uri string, record_type string, "
                  "payload_digest string, refers_to_id string, declared_bytes long")
 
@@ -73,18 +78,25 @@ def write_archives(records: DataFrame, path: str, records_per_file: int = 2000,
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers by lower-case name, payload) of each record of an archive.
+    """(headers by lower-case name, payload) of each record of an archive,
+    plain or gzipped in any number of members, unpacked as it is read.
     Content-Length decides where a payload ends, so it may hold anything."""
-    at, n = 0, len(data)
-    while at < n:
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8", "replace").split(CRLF)
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    raw = io.BytesIO(data)
+    stream = gzip.GzipFile(fileobj=raw) if data[:2] == b"\x1f\x8b" else raw
+    while line := stream.readline():
+        if not line.strip():                  # what ends the record before
+            continue
+        if not line.startswith(b"WARC/"):
+            raise ValueError("no WARC record where one should begin")
+        head = {}
+        while (line := stream.readline()).strip():
+            k, _, v = line.decode("utf-8", "replace").partition(":")
+            head[k.strip().lower()] = v.strip()
         size = int(head["content-length"])
-        yield head, data[end + 4:end + 4 + size]
-        at = end + 4 + size + 4
+        payload = stream.read(size)
+        if len(payload) < size:
+            raise ValueError(f"archive ends within record {head.get('warc-record-id')}")
+        yield head, payload
 
 
 def _bare(value: str | None) -> str | None:
@@ -96,19 +108,18 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     the payload column out, so that what is shuffled later are headers only.
 
     A response's digest is computed from its payload and must equal the
-    header's, else the job fails. One archive is in memory at a time.
+    header's, else the job fails. Every file under ``path`` is an archive,
+    whatever its suffix, but for those whose names begin with ``_`` or ``.``. In
+    memory at a time are one archive as it is stored and the records of one
+    batch, bounded in rows and bytes; a longer payload is a batch of its own.
     """
     schema = RECORD_SCHEMA if payloads else HEADER_SCHEMA
 
     def parse(batches):
-        import zlib
         for batch in batches:
             for raw in batch.column("content"):
-                rows = []
-                blob = raw.as_py()
-                if blob[:2] == b"\x1f\x8b":
-                    blob = zlib.decompress(blob, wbits=47)
-                for head, payload in parse_archive(blob):
+                rows, held = [], 0
+                for head, payload in parse_archive(raw.as_py()):
                     kind = head.get("warc-type")
                     stated = (head.get("warc-payload-digest") or "").removeprefix("sha1:") or None
                     if kind == "response":
@@ -121,11 +132,15 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                     row = (_bare(head.get("warc-record-id")), head.get("warc-target-uri"), kind,
                            stated, _bare(head.get("warc-refers-to")), size)
                     rows.append(row + (payload,) if payloads else row)
-                for i in range(0, len(rows), 500):
-                    yield _batch(rows[i:i + 500], payloads)
+                    held += len(payload) if payloads else 0
+                    if len(rows) == BATCH_ROWS or held >= BATCH_BYTES:
+                        yield _batch(rows, payloads)
+                        rows, held = [], 0
+                if rows:
+                    yield _batch(rows, payloads)
 
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.txt.gz").load(path).select("content"))
+             .load(path).select("content"))
     return files.mapInArrow(parse, schema)
 
 

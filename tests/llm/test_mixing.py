@@ -64,7 +64,7 @@ def test_reruns_agree_in_any_partitioning(docs, rows):
 
 
 def test_texts_hold_the_words_taken(docs, rows):
-    df = docs(rows, n_chars=0)
+    df = docs(rows, n_chars=0, _size=1, _h1=2, _h2=3, _p=4, row=5, mixed=6, _rank=7, _start=8)
     got = mixing.mix_texts(df, block=16).collect()
     count = {}
     for r in got:

@@ -1,8 +1,11 @@
 import base64
+import gzip
 import hashlib
+import os
 import tempfile
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from pressio.llm import oracles, queries, warc
@@ -54,6 +57,34 @@ def test_revisit_without_its_original(spark):
     assert got == {"a": None, "b": None, "c": "d", "d": "d"}
 
 
+def record(i, payload, kind="response"):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:x:{i}>\r\nContent-Length: {len(payload)}\r\n\r\n"
+    return head.encode() + payload + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(spark):
+    """A gzip member per record, several records a member, no compression, any suffix."""
+    d = tempfile.mkdtemp(prefix="warc-")
+    body = {i: os.urandom(40_000_000 if i == 3 else i * 50) + b"\r\n\r\nWARC/1.0\r\n" for i in range(1300)}
+    parts = {"members.warc.gz": range(700), "plain.warc": range(700, 800), "odd.bin": range(800, 1300)}
+    for name, ids in parts.items():
+        with open(os.path.join(d, name), "wb") as fh:
+            for i in ids:
+                one = record(i, body[i])
+                fh.write(gzip.compress(one, 1) if name != "plain.warc" else one)
+    open(os.path.join(d, "empty.warc"), "wb").close()
+    got = {r.record_id: (r.declared_bytes, r.payload_digest) for r in warc.read_archives(spark, d).drop("payload").collect()}
+    assert got == {f"urn:x:{i}": (len(b), base64.b32encode(hashlib.sha1(b).digest()).decode()) for i, b in body.items()}
+
+
+@pytest.mark.parametrize("keep", [30, -10])
+def test_cut_archives_are_refused(spark, keep):
+    whole = record(1, b"a" * 100) + record(2, b"b" * 100)
+    for blob in (whole[:keep], gzip.compress(whole)[:keep]):
+        with pytest.raises((ValueError, KeyError, EOFError)):
+            list(warc.parse_archive(blob))
+
+
 def test_empty_table(spark):
     src, dst = (tempfile.mkdtemp(prefix="warc-") + "/x" for _ in range(2))
     none = spark.createDataFrame([], "page_id long, url string, html string")
