@@ -10,6 +10,11 @@ hub each, and no pair of a bucket that could join two components is left out:
 a pair is only skipped where its distances to the hub differ by more than
 the largest distance of a link, which no link can (the distance is a metric),
 or where its signatures rule it out, at the place where its members meet.
+
+With ``solve`` the outsiders are not paired off: the members of a bucket lie in
+blocks, of at most about ``BLOCK_ROWS`` members and ``BLOCK_SIZE`` of their sizes, outsiders and others
+apart. Every two blocks with an outsider are a cell of its own, which one task
+solves and of which only joining links come out, fewer than it has members.
 """
 
 from __future__ import annotations
@@ -25,12 +30,15 @@ from .components import connected_components
 FIRST_OUTSIDERS = 256             # few rounds: each finds components anew
 GROWTH = 256
 SLACK = 1e-9
+BLOCK_ROWS = 512
+BLOCK_SIZE = 4_000_000
 
 Verify = Callable[[DataFrame], DataFrame]
 
 
 def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify], percent: int,
-                      sigs: DataFrame | None = None, may: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+                      sigs: DataFrame | None = None, may: Callable[[Column, Column], Column] | None = None,
+                      solve: Callable[[DataFrame, DataFrame, float], DataFrame] | None = None) -> DataFrame:
     """(node, component) of every node with a link, over members (key, rep, n).
 
     ``n`` is a size of the node; pairs whose smaller size is under
@@ -39,6 +47,9 @@ def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify]
     to (a, b, far, linked), materialised: whether they are linked, and their
     distance, by which no link exceeds 1 - percent / 100, or NULL. With
     ``sigs`` (rep, sig), pairs are ruled out whose signatures ``may`` denies.
+    ``solve`` gets the members of :func:`_cells`, the reps among them and the
+    largest difference of distances to a hub that a link allows; it returns links (a, b)
+    that connect what the cells' links connect.
     """
     if sigs is None:
         sigs, may = members.select("rep", F.lit(0).alias("sig")).distinct(), lambda x, y: F.lit(True)
@@ -76,6 +87,10 @@ def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify]
     open_ = cut(open_.join(done.select("a", "b", "far"), ["a", "b"], "left").join(sigs, "rep")
                 .withColumn("nth", F.when(F.col("out"), turn)).drop("a", "b", "c", "out"))
     reach = 1 - percent / 100 + SLACK
+    if solve is not None:
+        cells = cut(_cells(with_component(open_, "rep", "comp", comps), shared))
+        found = solve(cells, cells.select("rep").distinct(), reach)
+        return cut(connected_components(done.filter("linked").select("a", "b").unionByName(found), "a", "b"))
     lo, step = 0, FIRST_OUTSIDERS
     while lo < last:
         now = with_component(open_, "rep", "comp", comps)
@@ -97,6 +112,28 @@ def bucket_components(members: DataFrame, prepare: Callable[[DataFrame], Verify]
     return comps
 
 
+def _cells(open_: DataFrame, shared: DataFrame) -> DataFrame:
+    """(key, i, j, block, out, rep, n, comp, far, sig, keys): members of the cells
+    i <= j of two blocks of a bucket. ``out`` marks outsiders; ``keys`` are all
+    buckets of the member, so that a pair may be left to its smallest one. Hubs
+    have met all members and take no part."""
+    def blocks(out):
+        mine = F.col("out") == out
+        rows, size = F.count(F.when(mine, 1)), F.sum(F.when(mine, F.col("n")))
+        return F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(F.coalesce(size, F.lit(0)) / BLOCK_SIZE))
+
+    rows = open_.filter("rep <> hub").withColumn("out", F.col("nth").isNotNull()).drop("nth", "hub", "hub_n", "hub_comp")
+    sizes = rows.groupBy("key").agg(blocks(True).alias("ob"), blocks(False).alias("ib"))
+    keys = shared.groupBy("rep").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    turn = F.pmod(F.xxhash64("rep"), F.when(F.col("out"), F.col("ob")).otherwise(F.col("ib")))
+    dealt = (rows.join(sizes, "key").withColumn("block", F.when(F.col("out"), turn).otherwise(F.col("ob") + turn)))
+    # an outsider meets every block, the others those of outsiders
+    last = F.when(F.col("out"), F.col("ob") + F.col("ib")).otherwise(F.col("ob")) - 1
+    met = dealt.withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return (met.select("key", F.least("block", "t").alias("i"), F.greatest("block", "t").alias("j"), "block", "out",
+                       "rep", "n", "comp", "far", "sig").join(keys, "rep"))
+
+
 def with_component(df: DataFrame, node: str, out: str, comps: DataFrame) -> DataFrame:
     """``df`` with the component of its ``node``: itself where it has no link."""
     c = comps.select(F.col("node").alias("_n"), F.col("component").alias("_c"))

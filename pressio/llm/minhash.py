@@ -241,6 +241,82 @@ def signature_table(docs: DataFrame, bands: int, key: str = "doc_id", text: str
         run, "doc_id long, n long, f1 long, f2 long, keys array<long>, sig array<long>")
 
 
+def _possible(x: np.ndarray, sigs: np.ndarray, most: int) -> np.ndarray:
+    """Which rows of packed signatures differ from ``x`` in at most ``most`` coordinates."""
+    v = sigs ^ x
+    v |= v >> _U(1)
+    v |= v >> _U(2)
+    return np.bitwise_count(v & _U(0x1111111111111111)).sum(axis=1, dtype=np.int64) <= most
+
+
+def _joining(rows: pa.Table, percent: int, most: int, width: int, reach: float) -> list[tuple[int, int]]:
+    """Links between members of a cell, of those that it holds no more than
+    connect them: a pair is left out that lies in one component by then, or
+    whose smallest common bucket is another."""
+    key, cross = rows.column("key")[0].as_py(), rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
+    block, out, rep, n = (rows.column(c).to_numpy() for c in ("block", "out", "rep", "n"))
+    far = rows.column("far").to_numpy()
+    root = np.unique(rows.column("comp").to_numpy(), return_inverse=True)[1]
+    known, sigs = np.zeros(len(rep), bool), np.zeros((len(rep), width), np.uint64)
+    for r, sig in enumerate(rows.column("sig").to_pylist()):
+        if sig is not None:
+            known[r], sigs[r] = True, np.array(sig, np.int64).view(np.uint64)
+    keys = [np.array(k, np.int64) for k in rows.column("keys").to_pylist()]
+    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("s").combine_chunks()]
+    links = []
+    for r in np.flatnonzero(out):
+        # of two outsiders of a cell the earlier one meets the later one
+        may = (root != root[r]) & (~out | (np.arange(len(rep)) > r))
+        if cross:
+            may &= block != block[r]
+        may &= 100 * np.minimum(n, n[r]) >= percent * np.maximum(n, n[r])
+        with np.errstate(invalid="ignore"):
+            may &= ~(np.abs(far - far[r]) > reach)          # no distance (nan) rules nothing out
+        others = np.flatnonzero(may)
+        if known[r]:
+            others = others[~known[others] | _possible(sigs[r], sigs[others], most)]
+        for o in others:
+            if root[o] == root[r]:
+                continue
+            both = len(np.intersect1d(sets[r], sets[o], assume_unique=True))
+            if not both or 100 * both < percent * (len(sets[r]) + len(sets[o]) - both):
+                continue
+            if np.intersect1d(keys[r], keys[o], assume_unique=True)[0] == key:
+                links.append((int(rep[r]), int(rep[o])))
+                root[root == root[o]] = root[r]
+    return links
+
+
+def _solve(sets_of, percent: int, most: int, width: int):
+    """Cells of :mod:`buckets` solved on full sets, each in a task that holds no more than one."""
+    def run(batches, reach):
+        held = []
+
+        def solved():
+            found = _joining(pa.Table.from_batches(held), percent, most, width, reach) if held else []
+            held.clear()
+            a, b = ([f[side] for f in found] for side in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        last = None
+        for batch in batches:
+            cell = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j")], axis=1)
+            starts = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]).any(axis=1)])) if len(cell) else []
+            for lo, hi in zip(starts, [*starts[1:], len(cell)]):
+                if last is not None and tuple(cell[lo]) != last:
+                    yield solved()
+                last = tuple(cell[lo])
+                held.append(batch.slice(lo, hi - lo))
+        yield solved()
+
+    def solve(cells, reps, reach):
+        sets = sets_of(reps).select(F.col("id").alias("rep"), "s")
+        rows = (cells.join(sets, "rep").select("key", "i", "j", "block", "out", "rep", "n", "comp", "far", "sig", "keys", "s")
+                .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+        return cut(rows.mapInArrow(lambda batches: run(batches, reach), "a long, b long"))
+    return solve
+
+
 def _prepare(docs: DataFrame, key: str, text: str, percent: int, width: int):
     """The full sets of the documents that share a bucket, made once, and the
     comparison of pairs of them by Jaccard distance."""
@@ -270,11 +346,13 @@ def _prepare(docs: DataFrame, key: str, text: str, percent: int, width: int):
                     [part.column("a"), part.column("b"), pa.array(far), pa.array(ok)],
                     names=["a", "b", "far", "linked"])
 
-    def prepare(reps):
+    def sets_of(reps):
         texts = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text))
         ids = reps.select(F.col("rep").alias("_id"))
-        sets = cut(texts.join(ids, F.col(key) == F.col("_id"), "left_semi")
-                   .mapInArrow(to_sets, "id long, s binary"))
+        return texts.join(ids, F.col(key) == F.col("_id"), "left_semi").mapInArrow(to_sets, "id long, s binary")
+
+    def prepare(reps):
+        sets = cut(sets_of(reps))
 
         def verify(pairs):
             left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
@@ -285,7 +363,7 @@ def _prepare(docs: DataFrame, key: str, text: str, percent: int, width: int):
                        .groupBy("a", "b").agg(F.when(F.count(F.lit(1)) == 1, F.min("far")).alias("far"),
                                               F.max("linked").alias("linked")))
         return verify
-    return prepare
+    return prepare, sets_of
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -302,9 +380,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     members = classes.select("rep", "n", F.explode("keys").alias("key"))
     # of an id with several texts any may be linked: it has no one signature
     one = classes.groupBy("rep").agg(F.when(F.count(F.lit(1)) == 1, F.first("sig")).alias("sig"))
-    may = may_be_linked(percent, coordinates(bands))
-    comps = bucket_components(members, _prepare(docs, key, text, percent, width), percent, one,
-                              lambda x, y: F.coalesce(may(x, y), F.lit(True)))
+    count = coordinates(bands)
+    may = may_be_linked(percent, count)
+    prepare, sets_of = _prepare(docs, key, text, percent, width)
+    solve = _solve(sets_of, percent, count - least_agreement(percent, count), -(-count // 16))
+    comps = bucket_components(members, prepare, percent, one,
+                              lambda x, y: F.coalesce(may(x, y), F.lit(True)), solve)
     reps = classes.select(F.col("f1").alias("_f1"), F.col("f2").alias("_f2"), "rep")
     found = sig.select("doc_id", F.col("n").alias("n_shingles"), "f1", "f2").join(
         reps, (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2"))

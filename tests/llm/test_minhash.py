@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from pressio.llm import minhash, oracles, queries
+from pressio.llm import buckets, minhash, oracles, queries
 
 
 def brute(rows, percent=85):
@@ -62,6 +62,19 @@ def test_components_equal_brute_force(docs, corpus, percent):
         assert r.kept == (r.doc_id is None or r.doc_id == r.component_id)
 
 
+def test_a_large_group_of_near_copies_is_solved_in_cells(docs, words, monkeypatch):
+    """Two edits of 60 words part most copies from each other: many outsiders, few
+    links. Blocks of three members, and of one long text."""
+    monkeypatch.setattr(buckets, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(buckets, "BLOCK_SIZE", 400)
+    rnd = random.Random(5)
+    base, other = words(60), words(700)
+    rows = [(i, near(base, rnd, 2)) for i in range(80)] + [(i, near(other, rnd, 6)) for i in range(80, 100)]
+    want = brute(rows)
+    assert 20 < len(set(want.values())) < 100
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs(rows)).collect()} == want
+
+
 def test_one_row_of_each_group(docs, corpus):
     left = minhash.distinct_documents(docs(corpus), percent=85).collect()
     want = brute(corpus)
