@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ._util import as_col
 
 # A year-month-day text: four digits, month, day; either eight digits in a row
-# or any separators that are not digits; what follows the day is ignored.
-_COMPACT = r"^\s*(\d{4})(\d{2})(\d{2})(?!\d)"
-_SEPARATED = r"^\s*(\d{4})[^0-9]+(\d{1,2})[^0-9]+(\d{1,2})(?!\d)"
+# or any separators that are not digits; what follows the day is ignored. The
+# last alternative takes every other text, of which no part is left.
+_DAY = r"(?s)^(?:\s*(\d{4})(?:(\d{2})(\d{2})|[^0-9]+(\d{1,2})[^0-9]+(\d{1,2}))(?!\d).*|.*)"
+_PARTS = "$1-$2$4-$3$5"
 
 
 def date_token(c) -> Column:
@@ -27,12 +28,7 @@ def parse_day(c) -> Column:
     ``2009-1-4``, ``2009.01.04``, ``2009/01/04``, ``2009 01 03``,
     ``20090104``. Unreadable or impossible dates (``2021-02-30``) become NULL
     instead of failing; :func:`rejected_day` tells them from missing ones."""
-    text = as_col(c).cast("string")
-
-    def read(pattern):
-        parts = [F.regexp_extract(text, pattern, i) for i in (1, 2, 3)]
-        return F.try_to_date(F.concat_ws("-", *parts), "yyyy-M-d")
-    return F.coalesce(read(_COMPACT), read(_SEPARATED))
+    return F.regexp_replace(as_col(c).cast("string"), _DAY, _PARTS).try_cast("date")
 
 
 def rejected_day(c) -> Column:

@@ -175,3 +175,22 @@ def test_published_numbers_are_one_expression(spark):
     assert plan.count("decimal(38,15)") <= 2
     row = out.orderBy("id").collect()[1]
     assert row["id"] == "1" and row["c 3"] == "1" and row["c 1"] == "0.3333333333333333" and row["texts"] == "x"
+
+
+def test_headers_of_many_files_are_found_in_one_pass(spark, tmp_path, monkeypatch):
+    """Files are grouped by their first line that is not blank; one file of each is looked at."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from pressio.sources import io
+
+    for i in range(12):
+        text = "a,b\n1,x\n" if i % 3 else "\n  \nb,a\nx,2\nb,a\n"
+        (tmp_path / f"{i}.csv").write_text(text)
+    looked, one = [], io._csv
+    monkeypatch.setattr(io, "_csv", lambda s, p: looked.append(p) or one(s, p))
+    kinds = StructType([StructField("a", LongType()), StructField("b", StringType())])
+    got = io.read_with_rejects(spark, str(tmp_path), kinds).select("a", "b", F.col("rejected")["a"].alias("bad"))
+    assert sorted(map(str, got.collect())) == sorted(
+        ["Row(a=1, b='x', bad=None)"] * 8 + ["Row(a=2, b='x', bad=None)", "Row(a=None, b='b', bad='a')"] * 4)
+    assert len(looked) == 3           # the folder, and a file of each header
