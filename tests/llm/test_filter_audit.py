@@ -91,3 +91,20 @@ def test_words_of_many_shards_have_one_number(spark, docs, monkeypatch):
     assert dictionary.count() == 3 + 9
     sums = filter_audit.row_sums(shards).select("row.doc_id", "n_words", "n_distinct").collect()
     assert sorted(tuple(r) for r in sums) == [(i, 4, 4) for i in range(300)]
+
+
+def test_pieces_of_a_shard_make_the_rows_of_the_whole():
+    import numpy as np
+    import pyarrow as pa
+
+    def dense(ends, columns, counts, words):
+        words = words.to_pylist()
+        return [{words[c]: int(n) for c, n in zip(columns[i:j], counts[i:j])} for i, j in zip(ends, ends[1:])]
+
+    texts = pa.array(["a b a", None, "", " c\td  b ", "é a a a", "b"])
+    whole = dense(*filter_audit._entries(texts))
+    pieces = [filter_audit._entries(texts.slice(i, n)) for i, n in ((0, 2), (2, 1), (3, 3))]
+    ends, columns, counts, words = filter_audit._joined(pieces)
+    assert dense(ends, columns, counts, words) == whole
+    assert len(set(words.to_pylist())) == len(words) and np.asarray(ends).dtype == np.int32
+    assert filter_audit.PIECE < filter_audit.SHARD
