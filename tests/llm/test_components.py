@@ -1,5 +1,7 @@
 import random
 
+from pressio.llm import _common, components
+from pressio.llm._common import setting
 from pressio.llm.buckets import bucket_components
 from pressio.llm.components import connected_components
 
@@ -50,3 +52,24 @@ def test_distances_to_the_hub_spare_comparisons(spark):
     assert all(abs(abs(at[a] - at[hub]) - abs(at[b] - at[hub])) <= 0.15 + 1e-6
                for a, b, *_ in seen if hub not in (a, b))
     assert len(seen) == len({s[:2] for s in seen})
+
+
+def test_rounds_over_few_links_shuffle_nothing(spark, monkeypatch):
+    """Only the links as given are dealt out; a round over few of them is one task."""
+    made, plain = [], components.cut
+    monkeypatch.setattr(components, "cut", lambda df: made.append(
+        df._jdf.queryExecution().executedPlan().toString()) or plain(df))
+    rows = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)]
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        links = spark.createDataFrame(rows, "src long, dst long").repartition(5)
+        found = {r.node: r.component for r in components.connected_components(links).collect()}
+    assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)}
+    assert len(made) > 2 and "Exchange" in made[0] and not any("Exchange" in plan for plan in made[1:])
+
+
+def test_many_links_are_dealt_out(spark, monkeypatch):
+    """Links beyond a packed partition: the same components."""
+    monkeypatch.setattr(_common, "PACK", 7)
+    rows = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)]
+    found = components.connected_components(spark.createDataFrame(rows, "src long, dst long").repartition(5))
+    assert {r.node: r.component for r in found.collect()} == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)}
