@@ -108,3 +108,50 @@ def test_pieces_of_a_shard_make_the_rows_of_the_whole():
     assert dense(ends, columns, counts, words) == whole
     assert len(set(words.to_pylist())) == len(words) and np.asarray(ends).dtype == np.int32
     assert filter_audit.PIECE < filter_audit.SHARD
+
+
+def test_words_are_dealt_packed():
+    """A row a shard and part, not one a word; a word is in the same part wherever it is listed."""
+    import numpy as np
+    import pyarrow as pa
+
+    def dealt(words):
+        raw, sizes = filter_audit._raw(pa.array(words, pa.binary()))
+        order = np.argsort(filter_audit._hashes(raw, sizes), kind="stable")
+        words = [words[i] for i in order]
+        raw, sizes = filter_audit._raw(pa.array(words, pa.binary()))
+        shard = pa.RecordBatch.from_arrays(
+            [pa.array([4]), pa.array([raw.tobytes()], pa.binary()), pa.array([sizes.tobytes()], pa.binary())],
+            ["shard", "words", "sizes"])
+        rows = [r for b in filter_audit._dealt(iter([shard]), 7) for r in b.to_pylist()]
+        found = {}
+        for r in rows:
+            mine = filter_audit._words(r["words"], np.frombuffer(r["sizes"], np.int32)).to_pylist()
+            assert r["shard"] == 4 and words[r["at"]:r["at"] + len(mine)] == mine
+            found |= dict.fromkeys(mine, r["part"])
+        assert len(rows) == len(set(found.values())) <= 7 and set(found) == set(words)
+        return found
+    words = [f"wörd{i}".encode() for i in range(3000)] + [b"x" * 5000, b"a", b"aa", b"\x00"]
+    parts = dealt(words)
+    assert all(parts[w] == p for w, p in dealt(words[::-3]).items())
+    assert min(Counter(parts.values()).values()) > 300 and dealt([]) == {}
+
+
+def test_shards_are_filled_over_batches(spark, docs, monkeypatch):
+    monkeypatch.setattr(filter_audit, "TEXTS", 20)
+    shards, _, path = filter_audit.term_matrix(
+        docs([(i, f"a b{i}") for i in range(200)]).coalesce(1).select("doc_id", "text"))
+    assert shards.count() == 1
+    drop_folder(spark, path)
+
+
+def test_signs_as_regular_expressions_find_them():
+    import pyarrow as pa
+
+    random.seed(3)
+    texts = [None, "", "A", "é" * 19 + "A", "é" * 18 + "A", "|"]
+    texts += ["".join(random.choices("abcÄé界 \nXYZ#*", [9, 9, 9, 9, 9, 9, 9, 9, .5, .5, .5, .2, .2], k=40)) for _ in range(300)]
+    want = [4 * (100 * len(re.findall("[A-Z]", t or "")) > 5 * len(t or "")) + 8 * bool(re.search(r"[#$%&*|]", t or ""))
+            for t in texts]
+    assert filter_audit._signs(pa.array(texts)).tolist() == want
+    assert filter_audit._signs(pa.array(texts).slice(2, 50)).tolist() == want[2:52]
